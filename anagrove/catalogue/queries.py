@@ -17,6 +17,7 @@ from anagrove.operators import enrich, features, hybrid, matching, metrics, rank
 from anagrove.operators import states as word_states
 from anagrove.operators import thresholds
 from anagrove.plans import derived, lifecycle
+from anagrove.plans.derived import Warehouse
 from anagrove.session import materialise, scratch_name, scratch_path
 from anagrove.sinks import export, tables
 from anagrove.sources import puzzles as puzzle_source
@@ -83,8 +84,7 @@ def puzzle_month_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stored_puzzles(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "puzzles")
-    listed = derived.words(spark, sf_dir)
-    answers = derived.official_answers(listed, derived.puzzles(listed))
+    answers = Warehouse(spark, sf_dir).answers
     export.write_puzzles(derived.puzzle_documents(answers), path)
     return puzzle_source.read_puzzles(spark, path, multi_line=False)
 
@@ -127,7 +127,7 @@ def page_script_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def table_create_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     db = _new_db(spark)
-    tables.create_table(derived.words(spark, sf_dir), "words", db)
+    tables.create_table(matching.eligible_words(derived.vocabulary(spark, sf_dir)), "words", db)
     return spark.table(f"{db}.words")
 
 
@@ -143,7 +143,7 @@ def table_create_repartitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 def replace_where(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decisions partitioned by month; one day is then replaced by its acceptances."""
     db = _new_db(spark)
-    rows = matching.with_decision_dates(derived.decisions(derived.words(spark, sf_dir)))
+    rows = matching.with_decision_dates(Warehouse(spark, sf_dir).decisions)
     parts = lifecycle.DECISION_PARTITIONS
     first = {"year": 2018, "month": 1}
     tables.replace_where(rows, "word_decisions", db, first, parts)
@@ -174,7 +174,7 @@ def wordlist_write(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def export_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    groups = serving.letter_set_groups(derived.word_probabilities(spark, sf_dir))
+    groups = serving.letter_set_groups(Warehouse(spark, sf_dir).probabilities)
     lines = export.export_json_lines(serving.export_rows(groups))
     return lines.select("letter_set", _long("part"), "json")
 
@@ -220,48 +220,42 @@ def puzzle_letter_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def matching_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    listed = derived.words(spark, sf_dir)
-    found = matching.matching_words(derived.puzzles(listed), listed)
+    house = Warehouse(spark, sf_dir)
+    found = matching.matching_words(house.puzzles, house.words)
     return found.select(_day("puzzle_date"), "center_letter", "outer_letters", "letter_set", "word", "n")
 
 
 @query
 def word_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _decision_text(derived.decisions(derived.words(spark, sf_dir)))
+    return _decision_text(Warehouse(spark, sf_dir).decisions)
 
 
 @query
 def decision_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = matching.with_decision_dates(derived.decisions(derived.words(spark, sf_dir)))
+    rows = matching.with_decision_dates(Warehouse(spark, sf_dir).decisions)
     return rows.select("word", _day("puzzle_date"), _long("year"), _long("month"), _long("day"))
 
 
 @query
 def backfill_month_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = matching.with_decision_dates(derived.decisions(derived.words(spark, sf_dir)))
+    rows = matching.with_decision_dates(Warehouse(spark, sf_dir).decisions)
     return matching.month_counts(rows).select(_long("year"), _long("month"), "n")
 
 
 @query
 def raw_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _raw_words(spark, sf_dir)
+    rows = Warehouse(spark, sf_dir).raw_words
     return rows.select("word", "letter_set", _long("version"), _day("date_added"))
 
 
-def _raw_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    listed = derived.words(spark, sf_dir)
-    answers = derived.official_answers(listed, derived.puzzles(listed))
-    return matching.raw_words(listed, answers)
-
-
 @query
 def version_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return matching.version_counts(_raw_words(spark, sf_dir)).select(_long("version"), "n")
+    return matching.version_counts(Warehouse(spark, sf_dir).raw_words).select(_long("version"), "n")
 
 
 @query
 def decision_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = matching.with_decision_dates(derived.decisions(derived.words(spark, sf_dir)))
+    rows = matching.with_decision_dates(Warehouse(spark, sf_dir).decisions)
     return matching.decision_partitions(rows).select(_long("year"), _long("month"))
 
 
@@ -333,37 +327,33 @@ def validate_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.validate_embeddings(derived.table(spark, sf_dir, "embeddings"), expected_length=64)
 
 
-def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derived.joined_words(spark, sf_dir, derived.words(spark, sf_dir))
-
-
 @query
 def words_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _joined(spark, sf_dir).select(
+    return Warehouse(spark, sf_dir).joined_words.select(
         "word", "letter_set", _day("date_added"), _long("version"), _double("frequency"), *_vector()
     )
 
 
 @query
 def missing_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich.missing_patterns(_joined(spark, sf_dir))
+    return enrich.missing_patterns(Warehouse(spark, sf_dir).joined_words)
 
 
 @query
 def incomplete_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich.incomplete_words(_joined(spark, sf_dir)).select(
+    return enrich.incomplete_words(Warehouse(spark, sf_dir).joined_words).select(
         "word", "letter_set", _double("frequency"), _vector()[0]
     )
 
 
 @query
 def count_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    listed = derived.words(spark, sf_dir)
+    house = Warehouse(spark, sf_dir)
     frames = {
-        "words": listed,
-        "frequencies": derived.frequencies(listed),
-        "embeddings": derived.embeddings(spark, sf_dir, listed),
-        "joined": derived.joined_words(spark, sf_dir, listed),
+        "words": house.words,
+        "frequencies": house.frequencies,
+        "embeddings": house.embeddings,
+        "joined": house.joined_words,
     }
     return enrich.count_reconcile(frames)
 
@@ -382,43 +372,41 @@ def _state_text(rows: DataFrame) -> DataFrame:
 
 @query
 def init_states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    listed = derived.words(spark, sf_dir)
-    return _state_text(derived.states_before(spark, sf_dir, listed))
+    return _state_text(Warehouse(spark, sf_dir).states_before)
 
 
 @query
 def latest_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = derived.decisions(derived.words(spark, sf_dir))
+    rows = Warehouse(spark, sf_dir).decisions
     return _decision_text(word_states.latest_decisions(rows))
 
 
 @query
 def distinct_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return word_states.distinct_words(derived.decisions(derived.words(spark, sf_dir)))
+    return word_states.distinct_words(Warehouse(spark, sf_dir).decisions)
 
 
 @query
 def new_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    listed = derived.words(spark, sf_dir)
-    return word_states.new_words(derived.decisions(listed), listed)
+    house = Warehouse(spark, sf_dir)
+    return word_states.new_words(house.decisions, house.words)
 
 
 @query
 def enrich_new_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    listed = derived.words(spark, sf_dir)
-    return _state_text(derived.updates(spark, sf_dir, listed))
+    return _state_text(Warehouse(spark, sf_dir).updates)
 
 
 @query
 def merge_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First half of the puzzles, then all, then the first half again as late data."""
-    listed = derived.words(spark, sf_dir)
-    rows = materialise(derived.decisions(listed))
+    house = Warehouse(spark, sf_dir)
+    rows = materialise(house.decisions)
     dates = rows.agg(F.min("puzzle_date").alias("a"), F.max("puzzle_date").alias("b"))
     middle = dates.select(F.expr("date_add(a, cast(floor(datediff(b, a) / 2) as int))")).scalar()
     early = rows.filter(F.col("puzzle_date") <= middle)
-    data = materialise(derived.joined_words(spark, sf_dir, listed))
-    states = derived.states_before(spark, sf_dir, listed)
+    data = materialise(house.joined_words)
+    states = word_states.init_states(data.filter(F.col("version") == 1), derived.FIRST_BATCH)
     for part, batch in [(early, "early"), (rows, "all"), (early, "late")]:
         update = word_states.decisions_as_updates(part, batch)
         update = word_states.enrich_new_words(update, states, data)
@@ -431,7 +419,7 @@ def merge_states(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def log_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = features.with_log_frequency(derived.frequencies(derived.vocabulary(spark, sf_dir)))
+    rows = features.with_log_frequency(derived.vocabulary(spark, sf_dir).withColumnRenamed("n", "frequency"))
     return rows.select("word", F.round("log_frequency", 6).alias("log_frequency"))
 
 
@@ -456,7 +444,7 @@ def features_v1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def label_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features.label_split_counts(derived.states(spark, sf_dir))
+    return features.label_split_counts(Warehouse(spark, sf_dir).states)
 
 
 @query
@@ -524,7 +512,7 @@ def _small_bands() -> dict[str, hybrid.BandSpec]:
 
 
 def _trained(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, hybrid.WordModel]:
-    current = materialise(derived.states(spark, sf_dir))
+    current = Warehouse(spark, sf_dir).states
     return current, lifecycle.train_on_states(current, 32, _small_bands())
 
 
@@ -609,7 +597,7 @@ def class_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def word_probabilities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = derived.word_probabilities(spark, sf_dir)
+    rows = Warehouse(spark, sf_dir).probabilities
     return rows.select(
         "word",
         "letter_set",
@@ -664,18 +652,18 @@ def _ranked(rows: DataFrame) -> DataFrame:
 
 @query
 def top_probabilities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ranked(serving.top_probabilities(derived.word_probabilities(spark, sf_dir)))
+    return _ranked(serving.top_probabilities(Warehouse(spark, sf_dir).probabilities))
 
 
 @query
 def bottom_probabilities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = derived.word_probabilities(spark, sf_dir)
+    rows = Warehouse(spark, sf_dir).probabilities
     return _ranked(serving.top_probabilities(rows, descending=False))
 
 
 @query
 def letter_set_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    groups = serving.letter_set_groups(derived.word_probabilities(spark, sf_dir))
+    groups = serving.letter_set_groups(Warehouse(spark, sf_dir).probabilities)
     words = F.array_join(F.transform("data", lambda r: r["word"]), ",")
     chance = F.aggregate("data", F.lit(0.0), lambda s, r: s + r["probability"].cast("double"))
     return groups.select("letter_set", _long("part"), words.alias("words"), chance.alias("total"))
@@ -683,16 +671,15 @@ def letter_set_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def export_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    groups = serving.letter_set_groups(derived.word_probabilities(spark, sf_dir))
+    groups = serving.letter_set_groups(Warehouse(spark, sf_dir).probabilities)
     rows = serving.export_rows(groups)
     return rows.select("letter_set", F.explode("data").alias("d")).select("letter_set", "d.*")
 
 
 @query
 def solve_puzzle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    listed = derived.words(spark, sf_dir)
-    rows = derived.word_probabilities(spark, sf_dir, listed)
-    solved = serving.solve_puzzles(derived.puzzles(listed), rows)
+    house = Warehouse(spark, sf_dir)
+    solved = serving.solve_puzzles(house.puzzles, house.probabilities)
     return solved.select(
         _day("puzzle_date"),
         "center_letter",
@@ -708,13 +695,11 @@ def solve_puzzle(spark: SparkSession, sf_dir: str) -> DataFrame:
 def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream all puzzle documents into decisions and states; returns the states."""
     db = _new_db(spark)
-    listed = derived.words(spark, sf_dir)
-    rows = derived.puzzles(listed)
+    house = Warehouse(spark, sf_dir)
     source = scratch_path(spark, "puzzles")
-    answers = derived.official_answers(listed, rows)
-    export.write_puzzles(derived.puzzle_documents(answers), source)
-    tables.create_table(derived.joined_words(spark, sf_dir, listed), "words", db)
-    tables.publish_snapshot(derived.states_before(spark, sf_dir, listed), "word_states", db, buckets=8)
+    export.write_puzzles(derived.puzzle_documents(house.answers), source)
+    tables.create_table(house.joined_words, "words", db)
+    tables.publish_snapshot(house.states_before, "word_states", db, buckets=8)
     stream = ingest_puzzles(spark, source, db, scratch_path(spark, "stream"), multi_line=False)
     stream.awaitTermination()
     return _state_text(spark.table(f"{db}.word_states"))

@@ -6,6 +6,8 @@ into the inputs of the word-puzzle operators; every row of the source counts.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -41,15 +43,6 @@ def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_frequency(table(spark, sf_dir, "documents"))
 
 
-def words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The word table: eligible vocabulary with count ``n`` and letter set.
-
-    Plans below read it several times, so it is written out once; the texts are
-    then scanned once per query.
-    """
-    return materialise(eligible_words(vocabulary(spark, sf_dir)))
-
-
 def puzzles(listed: DataFrame) -> DataFrame:
     """One puzzle per distinct seven-letter set, one per day in letter order.
 
@@ -99,67 +92,85 @@ def puzzle_documents(answers: DataFrame) -> DataFrame:
     )
 
 
-def decisions(listed: DataFrame) -> DataFrame:
-    rows = puzzles(listed)
-    return word_decisions(rows, official_answers(listed, rows), listed)
-
-
-def frequencies(listed: DataFrame) -> DataFrame:
-    return listed.select("word", F.col("n").cast("double").alias("frequency"))
-
-
-def embeddings(spark: SparkSession, sf_dir: str, listed: DataFrame) -> DataFrame:
+def embeddings(vectors: DataFrame, listed: DataFrame) -> DataFrame:
     """A vector per word, picked by a digest; about one word in twenty gets none."""
-    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     slots = vectors.agg(F.floor(F.count(F.lit(1)) * 1.05)).scalar()
     digest = F.conv(F.substring(F.md5("word"), 1, 8), 16, 10).cast("bigint")
     placed = listed.select("word", F.pmod(digest, slots).alias("vec_id"))
     return placed.join(vectors, "vec_id").select("word", "embedding")
 
 
-def joined_words(spark: SparkSession, sf_dir: str, listed: DataFrame) -> DataFrame:
-    """All raw words, old and new, with frequency and embedding where known."""
-    known = raw_words(listed, official_answers(listed, puzzles(listed)))
-    return join_word_data(known, embeddings(spark, sf_dir, listed), frequencies(listed))
-
-
-def listed_words(spark: SparkSession, sf_dir: str, listed: DataFrame) -> DataFrame:
-    """Word-list words with frequency and embedding, before any puzzle."""
-    return (
-        listed.join(embeddings(spark, sf_dir, listed), "word", "left")
-        .withColumn("version", F.lit(1))
-        .withColumn("date_added", F.lit(None).cast("date"))
-        .withColumn("frequency", F.col("n").cast("double"))
-        .drop("n")
-    )
-
-
-def states_before(spark: SparkSession, sf_dir: str, listed: DataFrame) -> DataFrame:
-    return init_states(listed_words(spark, sf_dir, listed), FIRST_BATCH)
-
-
-def updates(spark: SparkSession, sf_dir: str, listed: DataFrame) -> DataFrame:
-    """Latest decision per word, with the data of words the states lack."""
-    latest = decisions_as_updates(decisions(listed), PUZZLE_BATCH)
-    return enrich_new_words(latest, listed, joined_words(spark, sf_dir, listed))
-
-
-def states(spark: SparkSession, sf_dir: str, listed: DataFrame | None = None) -> DataFrame:
-    """States after merging the latest decision of every word."""
-    listed = words(spark, sf_dir) if listed is None else listed
-    before = states_before(spark, sf_dir, listed)
-    return merge_states(before, updates(spark, sf_dir, listed), PUZZLE_BATCH)
-
-
 def arithmetic_score() -> Column:
     """A stand-in model: rarer words score higher, in exact sixty-fourths."""
     return F.round(64 / (1 + F.coalesce("frequency", F.lit(0.0)))) / 64
 
 
-def word_probabilities(
-    spark: SparkSession, sf_dir: str, listed: DataFrame | None = None
-) -> DataFrame:
-    """Truth rows and arithmetically scored rows of all states."""
-    current = states(spark, sf_dir, listed)
-    scored = score_with_column(current, arithmetic_score())
-    return probabilities(current, scored, PUZZLE_BATCH, 1)
+class Warehouse:
+    """The tables of the word-puzzle warehouse, derived from one data folder.
+
+    Tables that later stages read more than once are written out on first use,
+    as the stages of a warehouse are; a query then scans the texts once.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def given(self, name: str) -> DataFrame:
+        return table(self.spark, self.sf_dir, name)
+
+    @cached_property
+    def words(self) -> DataFrame:
+        """Eligible vocabulary with count ``n`` and letter set."""
+        return materialise(eligible_words(vocabulary(self.spark, self.sf_dir)))
+
+    @cached_property
+    def puzzles(self) -> DataFrame:
+        return materialise(puzzles(self.words))
+
+    @cached_property
+    def answers(self) -> DataFrame:
+        return materialise(official_answers(self.words, self.puzzles))
+
+    @cached_property
+    def decisions(self) -> DataFrame:
+        return word_decisions(self.puzzles, self.answers, self.words)
+
+    @property
+    def frequencies(self) -> DataFrame:
+        return self.words.select("word", F.col("n").cast("double").alias("frequency"))
+
+    @property
+    def embeddings(self) -> DataFrame:
+        return embeddings(self.given("embeddings").select("vec_id", "embedding"), self.words)
+
+    @property
+    def raw_words(self) -> DataFrame:
+        return raw_words(self.words, self.answers)
+
+    @property
+    def joined_words(self) -> DataFrame:
+        """All raw words, old and new, with frequency and embedding where known."""
+        return join_word_data(self.raw_words, self.embeddings, self.frequencies)
+
+    @property
+    def states_before(self) -> DataFrame:
+        """States of the word list before any puzzle."""
+        listed = self.joined_words.filter(F.col("version") == 1)
+        return init_states(listed, FIRST_BATCH)
+
+    @property
+    def updates(self) -> DataFrame:
+        """Latest decision per word, with the data of words the states lack."""
+        latest = decisions_as_updates(self.decisions, PUZZLE_BATCH)
+        return enrich_new_words(latest, self.words, self.joined_words)
+
+    @cached_property
+    def states(self) -> DataFrame:
+        """States after merging the latest decision of every word."""
+        return materialise(merge_states(self.states_before, self.updates, PUZZLE_BATCH))
+
+    @cached_property
+    def probabilities(self) -> DataFrame:
+        """Truth rows and arithmetically scored rows of all states."""
+        scored = score_with_column(self.states, arithmetic_score())
+        return probabilities(self.states, scored, PUZZLE_BATCH, 1)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import reduce
 from typing import Any
 
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from anagrove.session import materialise, scratch_name
 
 FORMAT = "parquet"
+OVERWRITE_CONF = "spark.sql.sources.partitionOverwriteMode"
 
 
 def create_db(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -125,20 +127,25 @@ def _rewrite(
         return
     kept = survivors(current.filter(_in_partitions(touched, keys)))
     emptied = touched - gained - _partition_values(kept, keys)
-    (
-        kept.unionByName(fresh)
-        .select(*current.columns)
-        .write.format(FORMAT)
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .insertInto(name)
-    )
+    with _dynamic_overwrite(spark):
+        kept.unionByName(fresh).select(*current.columns).write.insertInto(name, overwrite=True)
     for values in emptied:
         spec = ", ".join(f"`{k}` = '{v}'" for k, v in zip(keys, values))
         spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({spec})")
     spark.catalog.refreshTable(name)
 
 
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """Overwrite only the partitions that are written; inserts heed the setting alone."""
+    before = spark.conf.get(OVERWRITE_CONF)
+    spark.conf.set(OVERWRITE_CONF, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(OVERWRITE_CONF, before)
+
+
 def _partition_values(df: DataFrame, keys: list[str]) -> set[tuple]:
     return {tuple(row) for row in df.select(*keys).distinct().collect()}
 

@@ -18,9 +18,9 @@ GAME_VARIABLE = "window.gameData"
 def read_puzzles(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Puzzles below ``path``, with the folders' ``year`` and ``month``.
 
-    ``multi_line`` reads one indented object per file; without it, one object
-    per line. Names with more than one suffix, such as ``x.latest.json``, are
-    skipped.
+    ``multi_line`` reads files of one indented object each and skips names with
+    more than one suffix, such as ``x.latest.json``. Without it, files hold one
+    object per line, as Spark writes them.
     """
     puzzles = (
         spark.read.schema(PUZZLE_SCHEMA + ", year int, month int")
@@ -28,6 +28,8 @@ def read_puzzles(spark: SparkSession, path: str, multi_line: bool = True) -> Dat
         .option("pathGlobFilter", "*.json")
         .json(path)
     )
+    if not multi_line:
+        return puzzles
     return puzzles.filter(~F.col("_metadata.file_name").rlike(r"\..*\."))
 
 
