@@ -127,7 +127,7 @@ def page_script_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def table_create_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     db = _new_db(spark)
-    tables.create_table(matching.eligible_words(derived.vocabulary(spark, sf_dir)), "words", db)
+    tables.create_table(matching.eligible_words(Warehouse(spark, sf_dir).vocabulary), "words", db)
     return spark.table(f"{db}.words")
 
 
@@ -201,19 +201,19 @@ def letter_set(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def eligible_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return matching.eligible_words(derived.vocabulary(spark, sf_dir))
+    return matching.eligible_words(Warehouse(spark, sf_dir).vocabulary)
 
 
 @query
 def letter_set_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    index = matching.letter_set_index(derived.vocabulary(spark, sf_dir), ["n"])
+    index = matching.letter_set_index(Warehouse(spark, sf_dir).vocabulary, ["n"])
     entry = F.transform("rows", lambda r: F.concat_ws(":", r["word"], r["n"]))
     return index.select("letter_set", _long("part"), F.array_join(entry, ",").alias("rows"))
 
 
 @query
 def puzzle_letter_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    listed = matching.eligible_words(derived.vocabulary(spark, sf_dir))
+    listed = matching.eligible_words(Warehouse(spark, sf_dir).vocabulary)
     keys = matching.puzzle_letter_keys(derived.puzzles(listed))
     return keys.select(_day("puzzle_date"), "center_letter", "outer_letters", "letter_set")
 
@@ -405,7 +405,7 @@ def merge_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     dates = rows.agg(F.min("puzzle_date").alias("a"), F.max("puzzle_date").alias("b"))
     middle = dates.select(F.expr("date_add(a, cast(floor(datediff(b, a) / 2) as int))")).scalar()
     early = rows.filter(F.col("puzzle_date") <= middle)
-    data = materialise(house.joined_words)
+    data = house.joined_words
     states = word_states.init_states(data.filter(F.col("version") == 1), derived.FIRST_BATCH)
     for part, batch in [(early, "early"), (rows, "all"), (early, "late")]:
         update = word_states.decisions_as_updates(part, batch)

@@ -26,24 +26,24 @@ def eligible(word: Column, letters: Column) -> Column:
 def subset_keys(center: Column, outer: Column) -> Column:
     """Letter-set keys a puzzle accepts: the centre plus 1 to 6 outer letters.
 
-    Every bit mask over the outer letters stands for one subset. Repeated outer
-    letters yield repeated keys, and the centre alone is never a key.
+    The letters are sorted once; each outer letter then doubles the list of
+    partial keys and the centre extends all of them. Repeated outer letters
+    yield repeated keys, and the centre alone is never a key.
     """
-    letters = F.split(outer, "")
-    last_mask = F.call_function("shiftleft", F.lit(1), F.length(outer)) - 1
-    masks = F.filter(
-        F.sequence(F.lit(0), last_mask),
-        lambda mask: F.bit_count(mask).between(1, MAX_OUTER_LETTERS),
+    outer_letters = F.transform(F.split(outer, ""), lambda x: F.struct(x.alias("x"), F.lit(False).alias("c")))
+    letters = F.array_sort(
+        F.concat(F.array(F.struct(center.alias("x"), F.lit(True).alias("c"))), outer_letters)
     )
 
-    def key(mask: Column) -> Column:
-        chosen = F.filter(
-            letters,
-            lambda _, i: mask.bitwiseAND(F.call_function("shiftleft", F.lit(1), i)) != 0,
+    def extend(keys: Column, letter: Column) -> Column:
+        short = F.filter(keys, lambda k: F.length(k) < MAX_DISTINCT_LETTERS)
+        longer = F.transform(short, lambda k: F.concat(k, letter["x"]))
+        return F.when(letter["c"], F.transform(keys, lambda k: F.concat(k, letter["x"]))).otherwise(
+            F.concat(keys, longer)
         )
-        return F.array_join(F.array_sort(F.array_append(chosen, center)), "")
 
-    return F.transform(masks, key)
+    keys = F.aggregate(letters, F.array(F.lit("")), extend)
+    return F.filter(keys, lambda k: F.length(k).between(2, MAX_OUTER_LETTERS + 1))
 
 
 def tokens(text: Column) -> Column:

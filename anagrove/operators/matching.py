@@ -86,14 +86,15 @@ def word_decisions(puzzles: DataFrame, answers: DataFrame, words: DataFrame) ->
     """Union of official answers and matches per puzzle; accepted when official.
 
     Answers outside the word list stay, as accepted. The set union is one hash
-    aggregation over both inputs rather than a full outer join, so repeated
-    answers and matches fold on the map side.
+    aggregation over both inputs rather than a full outer join. Nearly all rows
+    are distinct, so they are shuffled first: a map-side table would only copy
+    them, and a (puzzle, word) key has too few rows to be hot.
     """
     columns = ["word", "center_letter", "outer_letters", "puzzle_date"]
     matched = matching_words(puzzles, words.select("word", "letter_set"), distinct=True)
     official = answers.select(*columns, F.lit(1.0).cast("float").alias("accepted"))
     implicit = matched.select(*columns, F.lit(0.0).cast("float").alias("accepted"))
-    both = official.unionByName(implicit)
+    both = official.unionByName(implicit).repartition(*columns)
     return both.groupBy(*columns).agg(F.max("accepted").alias("accepted"))
 
 

@@ -1,6 +1,8 @@
 """Joins and groupings that stay balanced when one key holds much of the data.
 
-Only keys with more than ``max_rows`` rows are split, so at most
+Each starts with one counting job per key, which combines on the map side and
+returns a few numbers. Most data has no hot key and then gets the plain plan.
+Otherwise only keys with more than ``max_rows`` rows are split, so at most
 ``rows / max_rows`` keys are ever listed: with the default of one million, a
 trillion input rows list a million keys, some tens of megabytes. That bound is
 what makes broadcasting the list safe.
@@ -11,16 +13,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from anagrove.session import materialise, shuffle_partitions
+
 MAX_ROWS_PER_SLICE = 1_000_000
 MAX_ROWS_PER_ARRAY = 200_000
-
-
-def _slices_per_key(df: DataFrame, keys: list[str], max_rows: int, name: str) -> DataFrame:
-    """Number of slices for each hot key (``count`` combines on the map side)."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return counts.filter(F.col("_rows") > max_rows).select(
-        *keys, F.ceil(F.col("_rows") / max_rows).cast("int").alias(name)
-    )
+# Rows per task up to which one join side is hashed in memory instead of sorted.
+MAX_HASHED_ROWS_PER_TASK = 1_000_000
 
 
 def _slice_of(member: Column, slices: Column) -> Column:
@@ -39,22 +37,32 @@ def salted_join(
 
     A hot key gets a grid of left slices by right slices. Each row lands in one
     slice of its own side and is repeated over the slices of the other side, so
-    every pair meets exactly once and no task sees a whole hot key.
+    every pair meets exactly once and no task sees a whole hot key. The right
+    side is hashed when its counted size per task allows, else both are sorted.
     """
-    hot = _slices_per_key(left, [key], max_rows, "_left_slices").join(
-        _slices_per_key(right, [key], max_rows, "_right_slices"), key, "full_outer"
+    sides = left.select(key, F.lit(1).alias("_l"), F.lit(0).alias("_r")).unionByName(
+        right.select(key, F.lit(0).alias("_l"), F.lit(1).alias("_r"))
     )
+    rows = sides.groupBy(key).agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
+    is_hot = (F.col("_l") > max_rows) | (F.col("_r") > max_rows)
+    found = rows.agg(F.count_if(is_hot).alias("hot"), F.sum("_r").alias("right")).first()
+    tasks = shuffle_partitions(left.sparkSession)
+    hashable = (found.right or 0) <= tasks * MAX_HASHED_ROWS_PER_TASK
+    if not found.hot:
+        return left.join(right.hint("shuffle_hash") if hashable else right, key)
     hot = F.broadcast(
-        hot.select(
-            key,
-            F.coalesce("_left_slices", F.lit(1)).alias("_left_slices"),
-            F.coalesce("_right_slices", F.lit(1)).alias("_right_slices"),
+        materialise(
+            rows.filter(is_hot).select(
+                key,
+                F.ceil(F.col("_l") / max_rows).cast("int").alias("_left_slices"),
+                F.ceil(F.col("_r") / max_rows).cast("int").alias("_right_slices"),
+            )
         )
     )
 
     def tag(df: DataFrame, member: str, own: str, other: str) -> DataFrame:
-        own_slices = F.coalesce(F.col(f"_{own}_slices"), F.lit(1))
-        other_slices = F.coalesce(F.col(f"_{other}_slices"), F.lit(1))
+        own_slices = F.greatest(F.col(f"_{own}_slices"), F.lit(1))
+        other_slices = F.greatest(F.col(f"_{other}_slices"), F.lit(1))
         return (
             df.join(hot, key, "left")
             .withColumn(f"_{own}", _slice_of(F.col(member), own_slices))
@@ -80,8 +88,13 @@ def bounded_arrays(
     Keys up to ``max_rows`` rows give a single part 0. Larger ones are spread by
     a hash of ``member``; together their parts hold every row exactly once.
     """
-    hot = F.broadcast(_slices_per_key(df, keys, max_rows, "_slices"))
-    tagged = df.join(hot, keys, "left").withColumn(
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = counts.filter(F.col("_rows") > max_rows)
+    array = F.sort_array(F.collect_list(element)).alias(alias)
+    if hot.isEmpty():
+        return df.groupBy(*keys).agg(array).select(*keys, F.lit(0).alias("part"), alias)
+    slices = hot.select(*keys, F.ceil(F.col("_rows") / max_rows).cast("int").alias("_slices"))
+    tagged = df.join(F.broadcast(materialise(slices)), keys, "left").withColumn(
         "part", _slice_of(F.col(member), F.coalesce("_slices", F.lit(1)))
     )
-    return tagged.groupBy(*keys, "part").agg(F.sort_array(F.collect_list(element)).alias(alias))
+    return tagged.groupBy(*keys, "part").agg(array)

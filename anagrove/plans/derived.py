@@ -118,10 +118,19 @@ class Warehouse:
     def given(self, name: str) -> DataFrame:
         return table(self.spark, self.sf_dir, name)
 
+    @cached_property
+    def vocabulary(self) -> DataFrame:
+        """Every token and its count.
+
+        Written out before the eligibility filter: Catalyst would otherwise push
+        that filter below the count and test every token instead of every word.
+        """
+        return materialise(vocabulary(self.spark, self.sf_dir))
+
     @cached_property
     def words(self) -> DataFrame:
         """Eligible vocabulary with count ``n`` and letter set."""
-        return materialise(eligible_words(vocabulary(self.spark, self.sf_dir)))
+        return materialise(eligible_words(self.vocabulary))
 
     @cached_property
     def puzzles(self) -> DataFrame:
@@ -147,10 +156,10 @@ class Warehouse:
     def raw_words(self) -> DataFrame:
         return raw_words(self.words, self.answers)
 
-    @property
+    @cached_property
     def joined_words(self) -> DataFrame:
         """All raw words, old and new, with frequency and embedding where known."""
-        return join_word_data(self.raw_words, self.embeddings, self.frequencies)
+        return materialise(join_word_data(self.raw_words, self.embeddings, self.frequencies))
 
     @property
     def states_before(self) -> DataFrame:
