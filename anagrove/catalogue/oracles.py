@@ -385,6 +385,25 @@ ORACLES: dict[str, str] = {
                   round(var_pop(value), 6) AS variance
            FROM feature_rows GROUP BY ALL""",
     ),
+    "gnb_fit": _with(
+        ["training", "feature_rows"],
+        """, stats AS (SELECT label AS class, position, avg(value) AS m, var_pop(value) AS v
+                       FROM feature_rows GROUP BY ALL),
+           priors AS (SELECT label AS class, ln(count(*) / (SELECT count(*) FROM training)) AS prior
+                      FROM training GROUP BY label),
+           scores AS (SELECT vec_id, label, class,
+                             sum(-0.5 * ln(2 * pi() * v) - (value - m) * (value - m) / (2 * v)) AS fit
+                      FROM feature_rows JOIN stats USING (position) GROUP BY ALL)
+           SELECT label, class AS prediction, count(*) AS n
+           FROM (SELECT vec_id, label, class FROM scores JOIN priors USING (class)
+                 QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY fit + prior DESC) = 1)
+           GROUP BY ALL""",
+    ),
+    "model_roundtrip": _with(
+        _STATES,
+        """SELECT count(*) AS n, 0.0::DOUBLE AS difference FROM states
+           WHERE label IS NOT NULL AND frequency IS NOT NULL AND embedding IS NOT NULL""",
+    ),
     "class_weights": """
         SELECT l_returnflag, n, round(sum(n) OVER () / (count(*) OVER () * n), 9) AS weight
         FROM (SELECT l_returnflag, count(*) AS n FROM lineitem GROUP BY 1)""",

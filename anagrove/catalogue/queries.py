@@ -700,6 +700,6 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     export.write_puzzles(derived.puzzle_documents(house.answers), source)
     tables.create_table(house.joined_words, "words", db)
     tables.publish_snapshot(house.states_before, "word_states", db, buckets=8)
-    stream = ingest_puzzles(spark, source, db, scratch_path(spark, "stream"), multi_line=False)
+    stream = ingest_puzzles(spark, source, db, scratch_path(spark, "stream"), multi_line=False, buckets=8)
     stream.awaitTermination()
     return _state_text(spark.table(f"{db}.word_states"))

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from anagrove.functions import embedding_is_valid, tokens
 from anagrove.operators.ranking import assign_batches, batch_log, ordered_chunks
+from anagrove.session import scratch_path
 
 
 def corpus_frequency(documents: DataFrame, lang: str | None = "en") -> DataFrame:
@@ -140,17 +141,19 @@ def enrich_batches(
     spark = words.sparkSession
     data_path, log_path = f"{path}/data", f"{path}/log"
     wave = F.floor(F.col("batch_id") / batches_per_commit).cast("int")
+    planned_path = scratch_path(spark, "batches")
     batches = assign_batches(words.select("word").distinct(), batch_size)
-    assigned, log = batches.withColumn("wave", wave), batch_log(batches).withColumn("wave", wave)
+    batches.withColumn("wave", wave).write.partitionBy("wave").parquet(planned_path)
+    planned = spark.read.parquet(planned_path)
     done = _committed(spark, log_path)
-    pending = assigned if done is None else assigned.join(done, "batch_id", "left_anti")
+    pending = planned if done is None else planned.join(done, "batch_id", "left_anti")
     # Wave numbers only: one per batches_per_commit * batch_size words.
     waves = [row.wave for row in pending.select("wave").distinct().orderBy("wave").toLocalIterator()]
     for number in waves:
-        part = assigned.filter(F.col("wave") == number)
+        part = planned.filter(F.col("wave") == number)
         found = collect_for_batches(part, collect_fn, data_col, data_type)
         _replace_wave(found.withColumn("wave", F.lit(number)), data_path)
-        _replace_wave(log.filter(F.col("wave") == number), log_path)
+        _replace_wave(batch_log(part).withColumn("wave", F.lit(number)), log_path)
     return spark.read.parquet(data_path).drop("wave")
 
 

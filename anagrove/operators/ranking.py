@@ -92,15 +92,17 @@ def ordered_chunks(
     return arrays.select(key, "chunk", F.col("_pairs.v").alias("series"))
 
 
-def quantiles(df: DataFrame, column: str, fractions: list[float]) -> DataFrame:
+def quantiles(counts: DataFrame, column: str, fractions: list[float]) -> DataFrame:
     """Exact quantiles with linear interpolation, as one row with one array.
 
-    Equal values are counted first; the two order statistics each fraction needs
-    are then picked from the running counts, so no task holds the column.
+    ``counts`` has each distinct value of ``column`` once, with its number of
+    rows ``n``. The two order statistics each fraction needs are picked from the
+    running counts, so no task holds the whole column.
     """
-    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-    steps = running_totals(counts, [F.col(column)], {"_before": F.col("_n")})
-    size = steps.agg(F.max(F.col("_before") + F.col("_n"))).scalar()
+    steps = running_totals(
+        counts.select(column, F.col("n").alias("_n")), [F.col(column)], {"_before": F.col("_n")}
+    )
+    size = counts.agg(F.sum("n")).scalar()
     positions = F.array(*[F.lit(float(q)) * (F.col("_size") - 1) for q in fractions])
 
     def covers(position: Column) -> Column:

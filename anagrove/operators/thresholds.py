@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from anagrove.operators.ranking import quantiles
+from anagrove.session import materialise
 
 # Fixed values of the search.
 CANDIDATES = 20
@@ -19,9 +20,21 @@ def candidate_fractions() -> list[float]:
     return [FIRST_FRACTION + step * i for i in range(CANDIDATES)]
 
 
+def value_counts(df: DataFrame, column: str, label: str) -> DataFrame:
+    """Rows and labels per distinct value, written out for the steps that follow."""
+    return materialise(
+        df.groupBy(column).agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count_if(F.col(label) == 1).alias("positive"),
+            F.count_if(F.col(label) == 0).alias("negative"),
+        )
+    )
+
+
 def band_candidates(df: DataFrame, column: str = "log_frequency") -> DataFrame:
     """Twenty quantiles; the lower ten are low edges, the upper ten high edges."""
-    found = quantiles(df, column, candidate_fractions())
+    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    found = quantiles(counts, column, candidate_fractions())
     half = CANDIDATES // 2
     return found.select(F.posexplode("quantiles").alias("position", "edge")).select(
         F.when(F.col("position") < half, "low").otherwise("high").alias("side"),
@@ -31,35 +44,33 @@ def band_candidates(df: DataFrame, column: str = "log_frequency") -> DataFrame:
 
 
 def threshold_grid(
-    df: DataFrame, column: str = "log_frequency", label: str = "label", edges: DataFrame | None = None
+    df: DataFrame, column: str = "log_frequency", label: str = "label"
 ) -> DataFrame:
     """Score of every admissible (low, high) pair of candidate edges.
 
-    One pass counts rows and labels between neighbouring edges, at most 41
-    groups. All pairs are then scored from those counts, so the data is neither
-    repeated per pair nor joined with the pairs.
+    The data is read once, into counts per distinct value. These give the
+    candidate edges, then the counts between neighbouring edges, at most 41
+    groups. All pairs are scored from those, so the data is neither repeated per
+    pair nor joined with the pairs.
     """
-    found = quantiles(df, column, candidate_fractions()) if edges is None else edges
-    bounds = found.scalar()
+    values = value_counts(df, column, label)
+    # One row of twenty numbers; null when there are no rows.
+    bounds = quantiles(values, column, candidate_fractions()).first().quantiles
+    edges = [F.lit(e).cast("double") for e in bounds or [None] * CANDIDATES]
     value = F.col(column)
-    below = F.size(F.filter("_edges", lambda e: e < value))
-    not_above = F.size(F.filter("_edges", lambda e: e <= value))
+    below = sum(((e < value).cast("int") for e in edges), F.lit(0))
+    not_above = sum(((e <= value).cast("int") for e in edges), F.lit(0))
     cells = (
-        df.withColumn("_edges", bounds)
-        .select(below.alias("below"), not_above.alias("not_above"), F.col(label).alias("y"))
+        values.select(below.alias("below"), not_above.alias("not_above"), "n", "positive", "negative")
         .groupBy("below", "not_above")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.count_if(F.col("y") == 1).alias("positive"),
-            F.count_if(F.col("y") == 0).alias("negative"),
-        )
+        .agg(*[F.sum(c).alias(c) for c in ("n", "positive", "negative")])
         .agg(F.collect_list(F.struct("below", "not_above", "n", "positive", "negative")).alias("cells"))
+        .withColumn("edges", F.array(*edges))
     )
     half = CANDIDATES // 2
     steps = F.sequence(F.lit(0), F.lit(half - 1))
     pairs = (
-        cells.withColumn("edges", bounds)
-        .withColumn("low_i", F.explode(steps))
+        cells.withColumn("low_i", F.explode(steps))
         .withColumn("high_i", F.explode(steps))
         .withColumn("low", F.get("edges", F.col("low_i")))
         .withColumn("high", F.get("edges", F.col("high_i") + half))

@@ -34,11 +34,13 @@ def backfill_year(documents: DataFrame, words: DataFrame, db: str, year: int) ->
     return month_counts(spark.table(name).filter(F.col("year") == year))
 
 
-def update_states(spark: SparkSession, db: str, decisions: DataFrame, batch_id: str) -> None:
+def update_states(
+    spark: SparkSession, db: str, decisions: DataFrame, batch_id: str, buckets: int | None = None
+) -> None:
     """Merge the latest decisions into the view ``word_states``."""
     states, words = spark.table(f"{db}.word_states"), spark.table(f"{db}.words")
     updates = enrich_new_words(decisions_as_updates(decisions, batch_id), states, words)
-    publish_snapshot(merge_states(states, updates, batch_id), "word_states", db)
+    publish_snapshot(merge_states(states, updates, batch_id), "word_states", db, buckets)
 
 
 def train_on_states(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from functools import reduce
@@ -48,6 +49,21 @@ def _matches(values: dict[str, Any], schema) -> Column:
     return reduce(lambda a, b: a & b, tests)
 
 
+def _first_write(df: DataFrame, name: str, partitions: list[str] | None) -> None:
+    if partitions:
+        _gathered(df, partitions).write.format(FORMAT).partitionBy(*partitions).saveAsTable(name)
+    else:
+        df.write.format(FORMAT).saveAsTable(name)
+
+
+def _gathered(df: DataFrame, partitions: list[str]) -> DataFrame:
+    """Bring a partition's rows together so that it gets few files.
+
+    Rebalancing splits a partition value that holds much of the data.
+    """
+    return df.hint("rebalance", *partitions)
+
+
 def replace_where(
     df: DataFrame, table: str, db: str, values: dict[str, Any], partitions: list[str] | None = None
 ) -> None:
@@ -65,8 +81,7 @@ def replace_where(
     if not values:
         raise ValueError("replace_where needs at least one column value")
     if not spark.catalog.tableExists(name):
-        writer = df.write.format(FORMAT)
-        (writer.partitionBy(*partitions) if partitions else writer).saveAsTable(name)
+        _first_write(df, name, partitions)
         return
     current = spark.table(name)
     hit = _matches(values, current.schema)
@@ -90,8 +105,7 @@ def replace_keys(
     _require_db(spark, db)
     name = f"{db}.{table}"
     if not spark.catalog.tableExists(name):
-        writer = df.write.format(FORMAT)
-        (writer.partitionBy(*partitions) if partitions else writer).saveAsTable(name)
+        _first_write(df, name, partitions)
         return
     current = spark.table(name)
     fresh = materialise(df.select(*current.columns))
@@ -128,7 +142,8 @@ def _rewrite(
     kept = survivors(current.filter(_in_partitions(touched, keys)))
     emptied = touched - gained - _partition_values(kept, keys)
     with _dynamic_overwrite(spark):
-        kept.unionByName(fresh).select(*current.columns).write.insertInto(name, overwrite=True)
+        rows = kept.unionByName(fresh).select(*current.columns)
+        _gathered(rows, keys).write.insertInto(name, overwrite=True)
     for values in emptied:
         spec = ", ".join(f"`{k}` = '{v}'" for k, v in zip(keys, values))
         spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({spec})")
@@ -169,21 +184,33 @@ def _swap_table(df: DataFrame, table: str, db: str) -> None:
 
 
 def publish_snapshot(
-    df: DataFrame, view: str, db: str, buckets: int | None = None, key: str = "word"
+    df: DataFrame,
+    view: str,
+    db: str,
+    buckets: int | None = None,
+    key: str = "word",
+    keep: int = 3,
 ) -> str:
     """Write a new snapshot table and point the view ``db.view`` at it.
 
     Readers of the view see the old or the new snapshot, never a mixture, and
     the new one may be computed from the old one. With ``buckets`` the snapshot
     is bucketed and sorted by ``key``, so the next merge shuffles only its small
-    side. Returns the snapshot's name.
+    side. The newest ``keep`` snapshots stay for running readers; older ones are
+    dropped. Returns the snapshot's name.
     """
     spark = df.sparkSession
     _require_db(spark, db)
-    snapshot = f"{db}.{scratch_name(view)}"
+    prefix = f"{view}__"
+    snapshot = scratch_name(f"{prefix}{time.time_ns():020d}")
     writer = df.write.format(FORMAT).mode("errorifexists")
     if buckets:
+        # Bucket columns first gathered by key: one file per bucket, not per task.
+        writer = df.repartition(buckets, key).write.format(FORMAT).mode("errorifexists")
         writer = writer.bucketBy(buckets, key).sortBy(key)
-    writer.saveAsTable(snapshot)
-    spark.sql(f"CREATE OR REPLACE VIEW {db}.{view} AS SELECT * FROM {snapshot}")
-    return snapshot
+    writer.saveAsTable(f"{db}.{snapshot}")
+    spark.sql(f"CREATE OR REPLACE VIEW {db}.{view} AS SELECT * FROM {db}.{snapshot}")
+    known = sorted(t.name for t in spark.catalog.listTables(db) if t.name.startswith(prefix))
+    for old in known[:-keep]:
+        spark.sql(f"DROP TABLE IF EXISTS {db}.{old}")
+    return f"{db}.{snapshot}"

@@ -20,6 +20,7 @@ def ingest_puzzles(
     batch_prefix: str = "puzzles",
     multi_line: bool = True,
     max_files: int | None = None,
+    buckets: int | None = None,
 ) -> StreamingQuery:
     """Process all puzzle documents not seen before, then stop.
 
@@ -43,7 +44,7 @@ def ingest_puzzles(
         replace_keys(found, "word_decisions", db, ["puzzle_date"], DECISION_PARTITIONS)
         dates = puzzles.select("puzzle_date").distinct()
         stored = session.table(f"{db}.word_decisions").join(dates, "puzzle_date", "left_semi")
-        update_states(session, db, stored, f"{batch_prefix}_{epoch}")
+        update_states(session, db, stored, f"{batch_prefix}_{epoch}", buckets)
 
     return (
         documents.writeStream.foreachBatch(process)
