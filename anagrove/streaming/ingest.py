@@ -42,6 +42,8 @@ def ingest_puzzles(
         puzzles, answers = split_documents(batch)
         found = with_decision_dates(word_decisions(puzzles, answers, listed))
         replace_keys(found, "word_decisions", db, ["puzzle_date"], DECISION_PARTITIONS)
+        # The stream runs in a copy of the session; the caller's file listing must follow.
+        spark.catalog.refreshTable(f"{db}.word_decisions")
         dates = puzzles.select("puzzle_date").distinct()
         stored = session.table(f"{db}.word_decisions").join(dates, "puzzle_date", "left_semi")
         update_states(session, db, stored, f"{batch_prefix}_{epoch}", buckets)
