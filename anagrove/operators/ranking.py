@@ -1,12 +1,14 @@
 """Global ranks and running totals without a one-partition window.
 
 Rows are range-partitioned on a unique key, so even slices are cut wherever the
-data lies. The slice number is pinned by a reliable checkpoint; totals of the
+data lies. The slice number is pinned by writing the rows out; totals of the
 slices (one row each) turn per-slice positions into global ones.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -99,24 +101,22 @@ def quantiles(counts: DataFrame, column: str, fractions: list[float]) -> DataFra
     rows ``n``. The two order statistics each fraction needs are picked from the
     running counts, so no task holds the whole column.
     """
+    size = counts.agg(F.sum("n")).first()[0] or 0
+    positions = [q * max(size - 1, 0) for q in fractions]
+    ranks = sorted({end(p) for p in positions for end in (math.floor, math.ceil)})
     steps = running_totals(
         counts.select(column, F.col("n").alias("_n")), [F.col(column)], {"_before": F.col("_n")}
     )
-    size = counts.agg(F.sum("n")).scalar()
-    positions = F.array(*[F.lit(float(q)) * (F.col("_size") - 1) for q in fractions])
 
-    def covers(position: Column) -> Column:
-        return (position >= F.col("_before")) & (position < F.col("_before") + F.col("_n"))
+    def covers(rank: Column) -> Column:
+        return (rank >= F.col("_before")) & (rank < F.col("_before") + F.col("_n"))
 
-    # At most two rows per fraction survive this filter.
-    needed = (
-        steps.withColumn("_size", size)
-        .withColumn("_positions", positions)
-        .filter(F.exists("_positions", lambda p: covers(F.floor(p)) | covers(F.ceil(p))))
-    )
+    # At most two rows per fraction survive. A value that occurs once covers just
+    # its own rank, which a plain set lookup decides.
+    inside = F.exists(F.array(*[F.lit(r) for r in ranks]), covers)
+    needed = steps.filter(F.col("_before").isin(ranks) | ((F.col("_n") > 1) & inside))
     picked = needed.agg(
-        F.first("_positions").alias("_positions"),
-        F.collect_list(F.struct("_before", "_n", F.col(column).alias("_v"))).alias("_steps"),
+        F.collect_list(F.struct("_before", "_n", F.col(column).alias("_v"))).alias("_steps")
     )
 
     def value_at(position: Column) -> Column:
@@ -124,11 +124,11 @@ def quantiles(counts: DataFrame, column: str, fractions: list[float]) -> DataFra
             F.col("_steps"),
             lambda s: (position >= s["_before"]) & (position < s["_before"] + s["_n"]),
         )
-        return F.element_at(hit, 1)["_v"]
+        return F.get(hit, F.lit(0))["_v"]
 
     return picked.select(
         F.transform(
-            "_positions",
+            F.array(*[F.lit(float(p)) for p in positions]),
             lambda s: value_at(F.floor(s))
             + (value_at(F.ceil(s)) - value_at(F.floor(s))) * (s - F.floor(s)),
         ).alias("quantiles")

@@ -54,9 +54,9 @@ def threshold_grid(
     pair nor joined with the pairs.
     """
     values = value_counts(df, column, label)
-    # One row of twenty numbers; null when there are no rows.
+    # One row of twenty numbers, each null when there are no rows.
     bounds = quantiles(values, column, candidate_fractions()).first().quantiles
-    edges = [F.lit(e).cast("double") for e in bounds or [None] * CANDIDATES]
+    edges = [F.lit(e).cast("double") for e in bounds]
     value = F.col(column)
     below = sum(((e < value).cast("int") for e in edges), F.lit(0))
     not_above = sum(((e <= value).cast("int") for e in edges), F.lit(0))

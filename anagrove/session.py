@@ -37,11 +37,16 @@ def scratch_name(label: str) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the data survives the loss of any executor."""
+    """Cut the lineage: write the rows to the shared folder and read them back.
+
+    The copy survives the loss of any executor. As a Parquet table, unlike a
+    checkpoint, it is read by column and filter, and its size is known to the
+    planner.
+    """
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    path = scratch_path(spark, "stage")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
