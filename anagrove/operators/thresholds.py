@@ -33,7 +33,7 @@ def value_counts(df: DataFrame, column: str, label: str) -> DataFrame:
 
 def band_candidates(df: DataFrame, column: str = "log_frequency") -> DataFrame:
     """Twenty quantiles; the lower ten are low edges, the upper ten high edges."""
-    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    counts = materialise(df.groupBy(column).agg(F.count(F.lit(1)).alias("n")))
     found = quantiles(counts, column, candidate_fractions())
     half = CANDIDATES // 2
     return found.select(F.posexplode("quantiles").alias("position", "edge")).select(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +14,7 @@ from anagrove.operators.serving import export_rows, letter_set_groups
 from anagrove.operators.states import decisions_as_updates, enrich_new_words, merge_states
 from anagrove.operators.thresholds import best_thresholds, threshold_grid
 from anagrove.session import materialise
-from anagrove.sinks.export import write_export
+from anagrove.sinks.export import publish_export
 from anagrove.sinks.tables import publish_snapshot, replace_keys, replace_where
 
 DECISION_PARTITIONS = ["year", "month"]
@@ -61,5 +63,6 @@ def publish_probabilities(
     return states.sparkSession.table(f"{db}.word_probabilities")
 
 
-def export_probabilities(words: DataFrame, path: str) -> None:
-    write_export(export_rows(letter_set_groups(words)), path)
+def export_probabilities(words: DataFrame, root: str, logical_date: dt.date) -> str:
+    """Publish the words grouped by letter set as the latest export."""
+    return publish_export(export_rows(letter_set_groups(words)), root, logical_date)

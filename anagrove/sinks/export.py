@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+import time
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Compact JSON that writes missing dates as null.
@@ -58,3 +61,40 @@ def require_not_older(snapshots: DataFrame, logical_date) -> None:
     newest = latest_snapshot(snapshots).first()
     if newest is not None and newest.logical_date is not None and logical_date < newest.logical_date:
         raise ValueError(f"{logical_date} is before the latest snapshot {newest.logical_date}")
+
+
+def _snapshots(spark: SparkSession, root: str) -> DataFrame:
+    """Published snapshots below ``root``, one row each."""
+    schema = "logical_date date, created_ts bigint"
+    try:
+        return spark.read.schema(schema).parquet(f"{root}/published")
+    except Exception as error:  # noqa: BLE001 - only a missing folder means no snapshot
+        if "PATH_NOT_FOUND" in str(error):
+            return spark.createDataFrame([], schema)
+        raise
+
+
+def publish_export(groups: DataFrame, root: str, logical_date: dt.date) -> str:
+    """Write the export of a logical date and make it the latest.
+
+    A date before the latest one is refused; the same date may be published
+    again. A snapshot counts from the moment its row is added to ``published``,
+    after all its lines are written, so there is always exactly one latest and
+    a failed attempt leaves the previous one in place. Returns the folder.
+    """
+    spark = groups.sparkSession
+    require_not_older(_snapshots(spark, root), logical_date)
+    created = time.time_ns()
+    folder = f"{root}/data_{logical_date.isoformat()}_{created}"
+    write_export(groups, folder)
+    row = spark.createDataFrame([(logical_date, created)], "logical_date date, created_ts bigint")
+    row.coalesce(1).write.mode("append").parquet(f"{root}/published")
+    return folder
+
+
+def read_latest_export(spark: SparkSession, root: str) -> DataFrame:
+    """JSON lines of the latest published export."""
+    newest = latest_snapshot(_snapshots(spark, root)).first()
+    if newest.logical_date is None:
+        raise ValueError(f"nothing has been published below {root}")
+    return spark.read.text(f"{root}/data_{newest.logical_date.isoformat()}_{newest.created_ts}")

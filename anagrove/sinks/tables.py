@@ -145,11 +145,18 @@ def _rewrite(
         rows = kept.unionByName(fresh).select(*current.columns)
         _gathered(rows, keys).write.insertInto(name, overwrite=True)
     for values in emptied:
-        spec = ", ".join(f"`{k}` = '{v}'" for k, v in zip(keys, values))
+        spec = ", ".join(f"`{k}` = {_sql_literal(v)}" for k, v in zip(keys, values))
         spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({spec})")
     spark.catalog.refreshTable(name)
 
 
+def _sql_literal(value: Any) -> str:
+    if value is None:
+        return "NULL"
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{text}'"
+
+
 @contextmanager
 def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
     """Overwrite only the partitions that are written; inserts heed the setting alone."""
