@@ -32,7 +32,8 @@ def latest_frequency(words: DataFrame, series: DataFrame, time: list[str], value
     newest = series.groupBy("word").agg(
         F.max_by(F.col(value), F.struct(*time)).cast("double").alias("frequency")
     )
-    return words.join(newest, "word", "left").fillna(0.0, ["frequency"])
+    joined = words.join(newest, "word", "left")
+    return joined.withColumn("frequency", F.coalesce("frequency", F.lit(0.0)))
 
 
 def frequency_series(

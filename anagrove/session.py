@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
+_LOCAL_FALLBACKS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
@@ -19,11 +22,12 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get(CHECKPOINT_CONF, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError(f"{CHECKPOINT_CONF} must name a folder shared by the cluster")
-    fallback = tempfile.mkdtemp(prefix="anagrove-")
-    spark.conf.set(CHECKPOINT_CONF, fallback)
-    return fallback
+    if context.applicationId not in _LOCAL_FALLBACKS:
+        _LOCAL_FALLBACKS[context.applicationId] = tempfile.mkdtemp(prefix="anagrove-")
+    return _LOCAL_FALLBACKS[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
