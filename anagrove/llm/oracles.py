@@ -29,6 +29,44 @@ SELECT conv_id,
 FROM summed GROUP BY conv_id
 """
 
+OP8 = r"""
+WITH RECURSIVE texts AS (
+    SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}_]+'), lambda w: w <> '') AS w
+    FROM documents
+),
+shingled AS (
+    SELECT doc_id, CASE WHEN len(w) >= 5
+            THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))
+            WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s
+    FROM texts
+),
+classes AS (
+    SELECT min(doc_id) AS rep, count(*) AS copies, s, len(s) AS n
+    FROM (SELECT doc_id, list_sort(s) AS s FROM shingled WHERE len(s) > 0) GROUP BY s
+),
+members AS (
+    SELECT d.doc_id, c.rep, c.copies
+    FROM (SELECT doc_id, list_sort(s) AS s FROM shingled) d JOIN classes c ON d.s = c.s
+),
+items AS (SELECT rep, n, copies, unnest(s) AS x FROM classes),
+shared AS (
+    SELECT a.rep AS a, b.rep AS b, a.n AS na, b.n AS nb, b.copies AS copies, count(*) AS k
+    FROM items a JOIN items b ON a.x = b.x AND a.rep <> b.rep AND a.n <= b.n * 1.25 + 1e-9 AND b.n <= a.n * 1.25 + 1e-9
+    GROUP BY ALL
+),
+links AS (SELECT a, b, copies FROM shared WHERE k >= 0.8 * (na + nb - k) - 1e-9),
+reach(v, r) AS (SELECT rep, rep FROM classes UNION SELECT l.b, reach.r FROM reach JOIN links l ON l.a = reach.v),
+roots AS (SELECT v, min(r) AS root FROM reach GROUP BY v),
+counts AS (SELECT a, sum(copies) AS k FROM links GROUP BY a)
+SELECT d.doc_id, coalesce(m.rep, d.doc_id) AS class_id,
+    CAST(coalesce(m.copies - 1 + coalesce(c.k, 0), 0) AS BIGINT) AS n_links,
+    coalesce(r.root, d.doc_id) AS component_id,
+    coalesce(r.root = d.doc_id, true) AS kept
+FROM documents d LEFT JOIN members m ON m.doc_id = d.doc_id
+LEFT JOIN roots r ON r.v = m.rep LEFT JOIN counts c ON c.a = m.rep
+"""
+
 ORACLES = {
     "op4_chat": OP4,
+    "op8_jaccard": OP8,
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anagrove.llm import chat, packing
+from anagrove.llm import chat, jaccard, packing
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -34,7 +34,13 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.expand(given.unionByName(planted)))
 
 
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near copies among all documents: five-word shingles, similarity 0.8 or more."""
+    return jaccard.similarity_join(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_pack": op1_pack,
     "op4_chat": op4_chat,
+    "op8_jaccard": op8_jaccard,
 }
