@@ -66,7 +66,30 @@ FROM documents d LEFT JOIN members m ON m.doc_id = d.doc_id
 LEFT JOIN roots r ON r.v = m.rep LEFT JOIN counts c ON c.a = m.rep
 """
 
+OP5 = """
+WITH RECURSIVE usual AS (
+    SELECT len(embedding) AS d FROM embeddings WHERE embedding IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, d DESC LIMIT 1
+),
+valid AS (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings, usual
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) = d
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM valid a JOIN valid b ON a.label = b.label AND a.vec_id <> b.vec_id
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.93
+),
+reach(v, r) AS (SELECT vec_id, vec_id FROM valid UNION SELECT l.b, reach.r FROM reach JOIN links l ON l.a = reach.v),
+roots AS (SELECT v, min(r) AS root FROM reach GROUP BY v),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, coalesce(root, e.vec_id) AS component_id,
+    coalesce(root, e.vec_id) = e.vec_id AS kept
+FROM embeddings e LEFT JOIN roots ON v = e.vec_id LEFT JOIN counts ON a = e.vec_id
+"""
+
 ORACLES = {
     "op4_chat": OP4,
+    "op5_embedding_dedup": OP5,
     "op8_jaccard": OP8,
 }

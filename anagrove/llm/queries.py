@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anagrove.llm import chat, jaccard, packing
+from anagrove.llm import ann, chat, embedding_dedup, jaccard, packing
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -22,6 +22,12 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), WORD_TOKENIZER)
 
 
+def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten nearest vectors of every hundredth one, among all."""
+    vectors = _table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("long"), "embedding")
+    return ann.nearest(vectors, vectors.filter("vec_id % 100 = 0"), k=10)
+
+
 def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation as prefix-target examples, read back."""
     given = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -34,6 +40,11 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.expand(given.unionByName(planted)))
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links between vectors of a label with a cosine of 0.93 or more."""
+    return embedding_dedup.link(_table(spark, sf_dir, "embeddings"))
+
+
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near copies among all documents: five-word shingles, similarity 0.8 or more."""
     return jaccard.similarity_join(_table(spark, sf_dir, "documents"))
@@ -41,6 +52,8 @@ def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_pack": op1_pack,
+    "op2_nearest": op2_nearest,
     "op4_chat": op4_chat,
+    "op5_embedding_dedup": op5_embedding_dedup,
     "op8_jaccard": op8_jaccard,
 }
