@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anagrove.llm import ann, bpe, chat, embedding_dedup, jaccard, packing, sharding, warc
+from anagrove.llm import ann, bpe, chat, embedding_dedup, jaccard, language, packing, sharding, toxicity, warc
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -78,6 +78,20 @@ def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similarity_join(_table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Severity of every document."""
+    documents = _table(spark, sf_dir, "documents")
+    return toxicity.score(documents, toxicity.fit(documents, _table(spark, sf_dir, "labels")))
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned outside the held-out fold."""
+    documents = _table(spark, sf_dir, "documents")
+    found = language.predict(documents, language.fit(documents))
+    held_out = language.is_held_out(F.col("doc_id")).alias("held_out")
+    return found.select("doc_id", held_out, "lang_pred", "score")
+
+
 QUERIES = {
     "op1_pack": op1_pack,
     "op2_nearest": op2_nearest,
@@ -87,4 +101,6 @@ QUERIES = {
     "op6_warc": op6_warc,
     "op7_reshard": op7_reshard,
     "op8_jaccard": op8_jaccard,
+    "op9_toxicity": op9_toxicity,
+    "op10_language": op10_language,
 }

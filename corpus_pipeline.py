@@ -1,5 +1,61 @@
-"""The corpus pipeline: toxicity, language, near copies, packing."""
+"""The corpus pipeline: toxicity, language, near copies, packing.
+
+Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept.
+Filtering stages keep the columns of ``documents``; decisions are joined back by
+``doc_id``. Of rows that repeat a document id with one text, one stays at the near
+copies stage. Stages of classifiers have no SQL twin, so the pipeline has none.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from anagrove.llm import jaccard, language, packing, toxicity
+from anagrove.session import materialise
+
+ORACLE_SQL = None
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    return docs.join(rejected.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose severity grade is likelier 0 than above."""
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return _without(docs, toxicity.score(docs, model).filter("toxic"))
+
+
+def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are in one of the learned languages."""
+    model = language.fit(docs)
+    return _without(docs, language.predict(docs, model).filter(F.col("lang_pred") == language.UNKNOWN))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the one with the smallest id."""
+    return _without(docs, jaccard.similarity_join(docs).filter("not kept"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents with their places in sequences."""
+    return packing.pack_documents(docs, WORD_TOKENIZER)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("language_id", drop_unknown_language),
+    ("ngram_jaccard", drop_near_copies),
+    ("packing", pack),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written before the next."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
