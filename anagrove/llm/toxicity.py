@@ -6,7 +6,7 @@ score). A text's expected severity is the sum over k of P(grade > k).
 
 The model is fitted on at most ``TRAINING_ROWS`` labelled rows, those with the
 smallest hashed ids. Features are kept that stand out among toxic rows by
-``MIN_Z`` standard errors. Labels tell only toxic rows from others, so grades of
+``MIN_Z`` standard errors and rarely occur elsewhere. Labels tell only toxic rows from others, so grades of
 severity are set from the texts: toxic rows are ranked by how many of their words
 hold such features and cut into ``TOXIC_GRADES`` even grades; other rows are 0.
 
@@ -31,10 +31,10 @@ from pyspark.sql import functions as F
 
 TRAINING_ROWS = 6_000
 MAX_FEATURES = 4_096
-MIN_Z, MIN_ROWS = 5.0, 4
+MIN_Z, MIN_ROWS, MIN_SHARE = 3.5, 2, 0.9
 PREFIXES = (4, 5, 6)
 TOXIC_GRADES = 3
-L2, STEPS, RATE = 1e-3, 400, 0.2
+L2, STEPS, RATE = 1e-5, 400, 0.2
 TOXIC_FROM = 0.5
 MAX_CACHED = 300_000
 
@@ -93,11 +93,11 @@ def fit_ordinal(rows: list[tuple[dict[int, float], int]], n_features: int, grade
         below = _sigmoid(theta[None, :] - score[:, None])
         cdf = np.concatenate([np.zeros((len(y), 1)), below, np.ones((len(y), 1))], axis=1)
         slope = np.concatenate([np.zeros((len(y), 1)), below * (1 - below), np.zeros((len(y), 1))], axis=1)
-        mass = np.maximum(cdf[at, y + 1] - cdf[at, y], 1e-12)
-        by_score = (slope[at, y + 1] - slope[at, y]) / mass / len(y)
+        mass = np.maximum(cdf[at, y + 1] - cdf[at, y], 1e-12) * len(y)
+        by_score = (slope[at, y + 1] - slope[at, y]) / mass
         by_theta = np.zeros(len(theta) + 2)
-        np.add.at(by_theta, y + 1, -slope[at, y + 1] / mass / len(y))
-        np.add.at(by_theta, y, slope[at, y] / mass / len(y))
+        np.add.at(by_theta, y + 1, -slope[at, y + 1] / mass)
+        np.add.at(by_theta, y, slope[at, y] / mass)
         by_theta = by_theta[1:-1]
         tail = np.cumsum(by_theta[::-1])[::-1]
         gradient = np.concatenate(
@@ -119,7 +119,7 @@ def select_features(texts: list[dict[str, int]], toxic: np.ndarray) -> dict[str,
             among.update(own)
     base = toxic.mean()
     spread = base * (1 - base)
-    z = {f: (among[f] - n * base) / np.sqrt(n * spread + 1) for f, n in there.items() if among[f] and n >= MIN_ROWS}
+    z = {f: (among[f] - n * base) / np.sqrt(n * spread + 1) for f, n in there.items() if n >= MIN_ROWS and among[f] >= n * MIN_SHARE}
     best = sorted((f for f in z if z[f] >= MIN_Z), key=lambda f: (-z[f], f))[:MAX_FEATURES]
     return {f: i for i, f in enumerate(best)}
 
