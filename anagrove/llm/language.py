@@ -34,7 +34,7 @@ FAMILIES = {
     "ca": "romance", "es": "romance", "fr": "romance", "it": "romance", "pt": "romance", "ro": "romance",
     "bg": "slavic", "cs": "slavic", "pl": "slavic", "ru": "slavic", "sk": "slavic", "uk": "slavic",
 }
-TRAINING_ROWS = 1_500
+TRAINING_ROWS = 400
 BUCKETS = 4_096
 PENALTY, STEPS = 1e-4, 200
 UNKNOWN = "und"
@@ -133,14 +133,16 @@ def fit(docs: DataFrame, rows: int = TRAINING_ROWS, id_col: str = "doc_id", text
     if not taken.num_rows:
         return LanguageModel([], [], np.zeros((BUCKETS, 0)), np.zeros(0))
     lang = np.array(taken.column("lang").to_pylist())
-    x = taken.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(lang), BUCKETS).astype(np.float64)
+    x = taken.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(lang), BUCKETS)
+    del taken
     order = np.lexsort((*x.T[:8], lang))
-    lang, x = lang[order], np.sqrt(x[order])
+    lang, x = lang[order], x[order].astype(np.float64)
     # Linear in frequencies, so that margins add up over words; scaled to even out common n-grams.
-    scale = 1 / np.maximum((x**2).mean(axis=0), 1e-6) ** 0.5
-    x = x**2 * scale
+    scale = 1 / np.sqrt(np.maximum(x.mean(axis=0), 1e-6))
+    x *= scale
     size = np.sqrt((x**2).sum(axis=1).mean())
-    x, scale = x / size, scale / size
+    x /= size
+    scale = scale / size
     languages = sorted(set(lang.tolist()))
     groups: dict[str, list[str]] = {}
     for name in languages:
