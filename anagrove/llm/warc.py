@@ -84,8 +84,9 @@ def write(
         F.coalesce(F.col(payload_col), F.lit("")).alias("payload"),
         F.coalesce(F.col(date_col), F.timestamp_seconds(F.lit(0))).alias("captured"),
     )
-    total = named.agg(F.sum(F.octet_length("payload").cast("long"))).first()[0] or 0
-    typed = with_record_types(named, min_bytes).repartition(max(1, -(-total // ARCHIVE_BYTES)))
+    size = named.agg(F.sum(F.octet_length("payload").cast("long")).alias("bytes"), F.count(F.lit(1)).alias("n")).first()
+    per_archive = max(1, ARCHIVE_BYTES * size.n // max(1, size.bytes or 0))
+    typed = with_record_types(named, min_bytes)
     is_revisit = F.col("refers_to").isNotNull()
 
     def urn(number: Column) -> Column:
@@ -107,7 +108,8 @@ def write(
     ]
     record = F.concat(F.concat_ws("\r\n", *lines), F.lit("\r\n\r\n"), block)
     # The text writer ends each row with the two line ends that end a record.
-    typed.select(record).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(path)
+    ends = {"lineSep": "\r\n\r\n", "compression": "gzip", "maxRecordsPerFile": per_archive}
+    typed.select(record).write.options(**ends).text(path)
 
 
 def _number(urn: str) -> int | None:
