@@ -7,7 +7,7 @@ ends included, hashed to ``BUCKETS``. As these add up over words, a text's margi
 are sums of its words' margins, which are cached.
 
 The model is fitted on at most ``TRAINING_ROWS`` rows per language, those with the
-smallest hashed ids. A language without a family in ``FAMILIES`` is one of its own.
+smallest hashed ids, and ``MAX_TRAINING_ROWS`` in all. A language without a family in ``FAMILIES`` is one of its own.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0; rows
 without a language don't train; with one language learned, all texts with letters
@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Families of languages by code: fixed values.
 FAMILIES = {
@@ -34,7 +35,7 @@ FAMILIES = {
     "ca": "romance", "es": "romance", "fr": "romance", "it": "romance", "pt": "romance", "ro": "romance",
     "bg": "slavic", "cs": "slavic", "pl": "slavic", "ru": "slavic", "sk": "slavic", "uk": "slavic",
 }
-TRAINING_ROWS = 400
+TRAINING_ROWS, MAX_TRAINING_ROWS = 400, 4_000
 BUCKETS = 4_096
 PENALTY, STEPS = 1e-4, 200
 UNKNOWN = "und"
@@ -119,7 +120,8 @@ def fit(docs: DataFrame, rows: int = TRAINING_ROWS, id_col: str = "doc_id", text
     known = known.filter(F.col("text").rlike(r"\p{L}"))
     by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
     ranked = known.select("id", "lang").withColumn("r", F.row_number().over(by_hash)).filter(F.col("r") <= rows)
-    sample = known.join(ranked.select("id", "lang"), ["id", "lang"]).select("lang", "text")
+    chosen = ranked.orderBy("r", F.xxhash64("id"), "lang").limit(MAX_TRAINING_ROWS).select("id", "lang")
+    sample = known.join(F.broadcast(chosen), ["id", "lang"]).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -204,7 +206,6 @@ class _WordMargins:
 def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Id, ``lang_pred`` and ``score``, from the text alone."""
     narrow = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    kind = narrow.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         margins_of = _WordMargins(model.weights)
@@ -223,4 +224,5 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
                     names[i] = name
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names), pa.array(scores)], names=["id", "lang_pred", "score"])
 
-    return narrow.mapInArrow(run, f"id {kind}, lang_pred string, score double").withColumnRenamed("id", id_col)
+    schema = T.StructType([narrow.schema["id"], *T.StructType.fromDDL("lang_pred string, score double").fields])
+    return narrow.mapInArrow(run, schema).withColumnRenamed("id", id_col)

@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 TRAINING_ROWS = 6_000
 MAX_FEATURES = 4_096
@@ -37,6 +38,7 @@ TOXIC_GRADES = 3
 L2, STEPS, RATE = 1e-5, 400, 0.2
 TOXIC_FROM = 0.5
 MAX_CACHED = 300_000
+SCORES = "grade int, expected_severity double, toxic_probability double, toxic boolean"
 
 _WORD = re.compile(r"\w+")
 
@@ -165,7 +167,6 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS, id_col: s
 def score(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Id, ``grade`` (the likeliest), ``expected_severity``, ``toxic_probability`` and ``toxic``."""
     narrow = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    kind = narrow.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, tuple] = {}
@@ -191,5 +192,5 @@ def score(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col
                 [batch.column(0), *map(pa.array, columns)], names=["id", "grade", "expected_severity", "toxic_probability", "toxic"]
             )
 
-    schema = f"id {kind}, grade int, expected_severity double, toxic_probability double, toxic boolean"
+    schema = T.StructType([narrow.schema["id"], *T.StructType.fromDDL(SCORES).fields])
     return narrow.mapInArrow(run, schema).withColumnRenamed("id", id_col)

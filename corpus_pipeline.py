@@ -1,9 +1,10 @@
 """The corpus pipeline: toxicity, language, near copies, packing.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept.
-Filtering stages keep the columns of ``documents``; decisions are joined back by
-``doc_id``. Of rows that repeat a document id with one text, one stays at the near
-copies stage. Stages of classifiers have no SQL twin, so the pipeline has none.
+Filtering stages keep the columns of ``documents``. Classifiers judge each row with
+its text, so rows that lack or share an id are judged too; near copies are joined
+back by ``doc_id``, and rows without one are kept there. Rows that repeat the id and
+text of the document that stays, stay with it. Stages of classifiers have no SQL twin, so the pipeline has none.
 """
 
 from __future__ import annotations
@@ -19,25 +20,28 @@ ORACLE_SQL = None
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    return docs.join(rejected.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+def _rows(docs: DataFrame) -> DataFrame:
+    """Each row as the id of its text, so that a decision carries its row along."""
+    return docs.select(F.struct(*docs.columns).alias("row"), "text")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose severity grade is likelier 0 than above."""
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return _without(docs, toxicity.score(docs, model).filter("toxic"))
+    return toxicity.score(_rows(docs), model, id_col="row").filter("not toxic").select("row.*")
 
 
 def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are in one of the learned languages."""
     model = language.fit(docs)
-    return _without(docs, language.predict(docs, model).filter(F.col("lang_pred") == language.UNKNOWN))
+    known = F.col("lang_pred") != language.UNKNOWN
+    return language.predict(_rows(docs), model, id_col="row").filter(known).select("row.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id."""
-    return _without(docs, jaccard.similarity_join(docs).filter("not kept"))
+    copies = jaccard.similarity_join(docs).filter("not kept").select("doc_id").distinct()
+    return docs.join(copies, "doc_id", "left_anti").select(docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
