@@ -2,26 +2,29 @@
 
 from __future__ import annotations
 
-_LETTERS = "upper(array_to_string(list_sort(list_distinct(string_split({0}, ''))), ''))"
+_LETTERS = "replace(upper(array_to_string(list_sort(list_distinct(string_split({0}, ''))), '')), 'ẞ', 'SS')"
 
 # Derived inputs as common table expressions; each may use the earlier ones.
 _PARTS = {
-    "vocab": """
+    "vocab": r"""
         SELECT word, count(*) AS n
-        FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS word
-              FROM documents WHERE lang = 'en')
+        FROM (SELECT unnest(regexp_extract_all(lower(text), '\p{L}+')) AS word FROM documents)
         GROUP BY word""",
     "words": f"""
         SELECT * FROM (SELECT word, n, {_LETTERS.format('word')} AS letter_set FROM vocab)
         WHERE length(word) >= 4 AND length(letter_set) <= 7""",
     "numbered": """
         SELECT letter_set AS letters, row_number() OVER (ORDER BY letter_set) - 1 AS no
-        FROM (SELECT DISTINCT letter_set FROM words WHERE length(letter_set) = 7)""",
+        FROM (SELECT DISTINCT letter_set FROM words WHERE length(letter_set) = 7
+              AND len(list_distinct(string_split(letter_set, ''))) = 7)""",
     "puzzles": """
         SELECT DATE '2018-01-01' + CAST(no AS INTEGER) AS puzzle_date,
                substr(letters, CAST(1 + no % 7 AS INTEGER), 1) AS center_letter,
                replace(letters, substr(letters, CAST(1 + no % 7 AS INTEGER), 1), '') AS outer_letters,
-               lower(letters) || lower(letters) AS made_up
+               repeat(array_to_string(list_sort(string_split(lower(
+                   substr(letters, CAST(1 + no % 7 AS INTEGER), 1)
+                   || substr(replace(letters, substr(letters, CAST(1 + no % 7 AS INTEGER), 1), ''), 1, 4)), '')), ''), 2)
+                   AS made_up
         FROM numbered""",
     "puzzle_keys": """
         SELECT puzzle_date, center_letter, outer_letters,
@@ -40,7 +43,9 @@ _PARTS = {
         SELECT word, center_letter, outer_letters, puzzle_date, max(accepted) AS accepted
         FROM (SELECT word, center_letter, outer_letters, puzzle_date, 1.0::DOUBLE AS accepted FROM answers
               UNION ALL
-              SELECT word, center_letter, outer_letters, puzzle_date, 0.0::DOUBLE FROM matches)
+              SELECT r.word, center_letter, outer_letters, puzzle_date, 0.0::DOUBLE
+              FROM puzzle_keys JOIN raw_words r USING (letter_set)
+              WHERE length(r.word) >= 4 AND length(letter_set) <= 7)
         GROUP BY ALL""",
     "raw_words": f"""
         SELECT word, letter_set, 1::BIGINT AS version FROM words
@@ -51,27 +56,26 @@ _PARTS = {
         SELECT w.word, e.embedding
         FROM (SELECT word, ('0x' || substr(md5(word), 1, 8))::BIGINT
                   % (SELECT CAST(floor(count(*) * 1.05) AS BIGINT) FROM embeddings) AS vec_id
-              FROM words) w
+              FROM raw_words) w
         JOIN embeddings e USING (vec_id)""",
+    "frequencies": """
+        SELECT word, n::DOUBLE AS frequency FROM words
+        UNION ALL
+        SELECT word, length(word)::DOUBLE FROM raw_words
+        WHERE version = 2 AND ('0x' || substr(md5(word), 1, 8))::BIGINT % 2 = 0""",
     "joined": """
         SELECT r.word, r.letter_set, NULL::VARCHAR AS date_added, r.version,
-               w.n::DOUBLE AS frequency, v.embedding
-        FROM raw_words r LEFT JOIN words w USING (word) LEFT JOIN vectors v USING (word)""",
+               f.frequency, v.embedding
+        FROM raw_words r LEFT JOIN frequencies f USING (word) LEFT JOIN vectors v USING (word)""",
     "latest": """
         SELECT * FROM decisions
         QUALIFY row_number() OVER (PARTITION BY word ORDER BY puzzle_date DESC, accepted DESC) = 1""",
     "states": """
-        SELECT coalesce(w.word, l.word) AS word,
-               coalesce(w.letter_set, j.letter_set) AS letter_set,
-               l.puzzle_date AS last_seen_on,
-               w.n::DOUBLE AS frequency,
-               v.embedding,
+        SELECT j.word, j.letter_set, l.puzzle_date AS last_seen_on, j.frequency, j.embedding,
                l.accepted AS label,
                CASE WHEN l.word IS NULL THEN 'words_1' ELSE 'puzzles_1' END AS batch_id
-        FROM words w
-        FULL JOIN latest l ON w.word = l.word
-        LEFT JOIN vectors v ON v.word = w.word
-        LEFT JOIN raw_words j ON j.word = l.word""",
+        FROM joined j LEFT JOIN latest l USING (word)
+        WHERE j.version = 1 OR l.word IS NOT NULL""",
     "probabilities": """
         SELECT word, letter_set, last_seen_on,
                coalesce(label, round(64 / (1 + coalesce(frequency, 0.0))) / 64) AS probability,
@@ -119,9 +123,10 @@ _PARTS = {
 
 _MATCHES = ["vocab", "words", "numbered", "puzzles", "puzzle_keys", "matches"]
 _ANSWERS = [*_MATCHES, "answers"]
-_DECISIONS = [*_ANSWERS, "decisions"]
-_JOINED = [*_ANSWERS, "raw_words", "vectors", "joined"]
-_STATES = [*_DECISIONS, "raw_words", "vectors", "latest", "states"]
+_RAW = [*_ANSWERS, "raw_words"]
+_DECISIONS = [*_RAW, "decisions"]
+_JOINED = [*_RAW, "vectors", "frequencies", "joined"]
+_STATES = [*_JOINED, "decisions", "latest", "states"]
 _PROBABILITIES = [*_STATES, "probabilities"]
 _GRID = ["priced", "edges", "pairs", "grid"]
 
@@ -133,8 +138,11 @@ def _with(parts: list[str], select: str) -> str:
     return f"WITH {listed}\n{select}"
 
 
+_TRAINABLE = "label IS NOT NULL AND frequency IS NOT NULL AND embedding IS NOT NULL"
 _DAY = "strftime({0}, '%Y-%m-%d') AS {0}"
-_VECTOR = "len(embedding) AS width, embedding[1]::DOUBLE AS first, embedding[-1]::DOUBLE AS last"
+_VECTOR = (
+    "array_to_string(list_transform(embedding, lambda x: round(x::DOUBLE * 1000000)::BIGINT), ',') AS embedding"
+)
 _STATE_TEXT = (
     f"word, letter_set, {_DAY.format('last_seen_on')}, frequency, {_VECTOR}, label, batch_id"
 )
@@ -157,6 +165,10 @@ ORACLES: dict[str, str] = {
         f"SELECT {_PUZZLE_TEXT} FROM answers WHERE year(puzzle_date) = 2018"
         f" AND month(puzzle_date) = 3 {_PUZZLE_GROUP}",
     ),
+    "puzzle_date_pruned": _with(
+        _ANSWERS,
+        f"SELECT {_PUZZLE_TEXT} FROM answers WHERE puzzle_date = DATE '2018-01-20' {_PUZZLE_GROUP}",
+    ),
     "latest_version": """
         SELECT source || '_' || lang || '_v' || doc_id || '.txt' AS file_name, doc_id AS version
         FROM documents ORDER BY doc_id DESC LIMIT 1""",
@@ -185,13 +197,14 @@ ORACLES: dict[str, str] = {
     "wordlist_write": _with(["vocab"], "SELECT word FROM vocab"),
     "export_json_lines": _with(
         _PROBABILITIES,
-        """SELECT letter_set, 0::BIGINT AS part,
+        """SELECT letter_set, part,
                   '{"' || letter_set || '":[' || string_agg(
                       '{"date":' || CASE WHEN last_seen_on IS NULL THEN 'null'
                           ELSE '"' || strftime(last_seen_on, '%Y-%m-%d') || '"' END
                       || ',"letters":"' || letter_set || '","prob":' || probability::DOUBLE::VARCHAR
                       || ',"word":"' || word || '"}', ',' ORDER BY word) || ']}' AS json
-           FROM probabilities GROUP BY letter_set""",
+           FROM (SELECT *, (row_number() OVER (PARTITION BY letter_set ORDER BY word) - 1) // 200000 AS part
+                 FROM probabilities) GROUP BY letter_set, part""",
     ),
     "latest_snapshot": """
         SELECT strftime(o_orderdate, '%Y-%m') AS logical_date, max(o_orderkey) AS created_ts
@@ -202,8 +215,9 @@ ORACLES: dict[str, str] = {
     "eligible_words": _with(["vocab", "words"], "SELECT word, n, letter_set FROM words"),
     "letter_set_index": _with(
         ["vocab", "words"],
-        "SELECT letter_set, 0::BIGINT AS part, string_agg(word || ':' || n, ',' ORDER BY word) AS rows"
-        " FROM words GROUP BY letter_set",
+        "SELECT letter_set, part, string_agg(word || ':' || n, ',' ORDER BY word) AS rows"
+        " FROM (SELECT *, (row_number() OVER (PARTITION BY letter_set ORDER BY word) - 1) // 200000 AS part"
+        " FROM words) GROUP BY letter_set, part",
     ),
     "puzzle_letter_keys": _with(
         _MATCHES[:-1],
@@ -227,12 +241,16 @@ ORACLES: dict[str, str] = {
            LEFT JOIN decisions d ON year(d.puzzle_date) = y.year AND month(d.puzzle_date) = m.month
            GROUP BY ALL""",
     ),
+    "backfill": _with(
+        _DECISIONS,
+        f"SELECT {_DECISION_TEXT} FROM decisions WHERE year(puzzle_date) = 2018 AND month(puzzle_date) <> 2",
+    ),
     "raw_words": _with(
-        [*_ANSWERS, "raw_words"],
+        _RAW,
         "SELECT word, letter_set, version, NULL::VARCHAR AS date_added FROM raw_words",
     ),
     "version_counts": _with(
-        [*_ANSWERS, "raw_words"], "SELECT version, count(*) AS n FROM raw_words GROUP BY version"
+        _RAW, "SELECT version, count(*) AS n FROM raw_words GROUP BY version"
     ),
     "decision_partitions": _with(
         _DECISIONS,
@@ -248,7 +266,10 @@ ORACLES: dict[str, str] = {
         """SELECT word,
                   (length(regexp_replace(word, '[^aeiou]', '', 'g')) / length(word))::FLOAT::DOUBLE
                       AS frequency,
-                  (row_number() OVER (ORDER BY word) - 1) // 1000 AS batch_id FROM vocab""",
+                  (row_number() OVER (PARTITION BY length(word) % 2 ORDER BY word) - 1) // 1000
+                  + CASE WHEN length(word) % 2 = 0 THEN 0
+                         ELSE (SELECT (count(*) + 999) // 1000 FROM vocab WHERE length(word) % 2 = 0) END
+                      AS batch_id FROM vocab""",
     ),
     "batch_log": _with(
         ["vocab"],
@@ -267,8 +288,8 @@ ORACLES: dict[str, str] = {
     "frequency_series": """
         SELECT word, chunk, string_agg(printf('%.2f', value), ',' ORDER BY r) AS series
         FROM (SELECT user_id AS word, value,
-                     row_number() OVER (ORDER BY user_id, ts, event_id) AS r,
-                     (row_number() OVER (ORDER BY user_id, ts, event_id) - 1) // 1000 AS chunk
+                     row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS r,
+                     (row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1) // 1000 AS chunk
               FROM events)
         GROUP BY word, chunk""",
     "corpus_frequency": _with(["vocab"], "SELECT word, n FROM vocab"),
@@ -298,24 +319,25 @@ ORACLES: dict[str, str] = {
     ),
     "incomplete_words": _with(
         _JOINED,
-        """SELECT word, letter_set, frequency, len(embedding) AS width FROM joined
+        f"""SELECT word, letter_set, frequency, {_VECTOR} FROM joined
            WHERE letter_set IS NULL OR version IS NULL OR frequency IS NULL OR embedding IS NULL""",
     ),
     "count_reconcile": _with(
         _JOINED,
         """SELECT source, n, (SELECT count(DISTINCT c) = 1 FROM (
                       SELECT count(*) AS c FROM words UNION ALL SELECT count(*) FROM vectors
+                      UNION ALL SELECT count(*) FROM frequencies
                       UNION ALL SELECT count(*) FROM joined)) AS all_equal
            FROM (SELECT 'words' AS source, count(*) AS n FROM words
-                 UNION ALL SELECT 'frequencies', count(*) FROM words
+                 UNION ALL SELECT 'frequencies', count(*) FROM frequencies
                  UNION ALL SELECT 'embeddings', count(*) FROM vectors
                  UNION ALL SELECT 'joined', count(*) FROM joined)""",
     ),
     "init_states": _with(
-        ["vocab", "words", "vectors"],
-        f"""SELECT word, letter_set, NULL::VARCHAR AS last_seen_on, n::DOUBLE AS frequency, {_VECTOR},
+        _JOINED,
+        f"""SELECT word, letter_set, NULL::VARCHAR AS last_seen_on, frequency, {_VECTOR},
                    NULL::DOUBLE AS label, 'words_1' AS batch_id
-            FROM words LEFT JOIN vectors USING (word)""",
+            FROM joined WHERE version = 1""",
     ),
     "latest_decision": _with([*_DECISIONS, "latest"], f"SELECT {_DECISION_TEXT} FROM latest"),
     "distinct_words": _with(_DECISIONS, "SELECT count(DISTINCT word) AS n FROM decisions"),
@@ -328,7 +350,7 @@ ORACLES: dict[str, str] = {
         f"""SELECT l.word, CASE WHEN j.version = 2 THEN j.letter_set END AS letter_set,
                    strftime(puzzle_date, '%Y-%m-%d') AS last_seen_on,
                    CASE WHEN j.version = 2 THEN j.frequency END AS frequency,
-                   NULL::BIGINT AS width, NULL::DOUBLE AS first, NULL::DOUBLE AS last,
+                   {_VECTOR.replace('embedding,', 'CASE WHEN j.version = 2 THEN embedding END,', 1)},
                    accepted AS label, 'puzzles_1' AS batch_id
             FROM latest l LEFT JOIN joined j ON j.word = l.word""",
     ),
@@ -399,6 +421,31 @@ ORACLES: dict[str, str] = {
                  QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY fit + prior DESC) = 1)
            GROUP BY ALL""",
     ),
+    "svd_project": """
+        SELECT vec_id, round(sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))), 4) AS length
+        FROM embeddings""",
+    "hybrid_fit": _with(
+        _STATES,
+        f"""SELECT count(*) AS n, sum(label) AS positive, true AS above_floor, true AS edges_ascend
+            FROM states WHERE {_TRAINABLE}""",
+    ),
+    "hybrid_predict": _with(_STATES, f"SELECT word, label, true AS sound FROM states WHERE {_TRAINABLE}"),
+    "score_unlabeled": _with(
+        _STATES,
+        """SELECT word, letter_set, frequency IS NOT NULL AND embedding IS NOT NULL AS scored
+           FROM states WHERE label IS NULL""",
+    ),
+    "score_with_model_object": """
+        SELECT vec_id, (0.5 * (embedding[1] > 0)::INTEGER + 0.25 * (vec_id >= 99)::INTEGER)::DOUBLE AS probability
+        FROM embeddings""",
+    "holdout_evaluation": _with(
+        _STATES,
+        f"""SELECT label, count(*) AS n, true AS measured FROM (
+                SELECT label, row_number() OVER (PARTITION BY label ORDER BY md5('0:' || word), word)
+                    <= round(count(*) OVER (PARTITION BY label) * 0.33::DOUBLE) AS is_test
+                FROM states WHERE {_TRAINABLE})
+            WHERE is_test GROUP BY label""",
+    ),
     "model_roundtrip": _with(
         _STATES,
         """SELECT count(*) AS n, 0.0::DOUBLE AS difference FROM states
@@ -450,8 +497,9 @@ ORACLES: dict[str, str] = {
     ),
     "letter_set_groups": _with(
         _PROBABILITIES,
-        """SELECT letter_set, 0::BIGINT AS part, string_agg(word, ',' ORDER BY word) AS words,
-                  sum(probability) AS total FROM probabilities GROUP BY letter_set""",
+        """SELECT letter_set, part, string_agg(word, ',' ORDER BY word) AS words, sum(probability) AS total
+           FROM (SELECT *, (row_number() OVER (PARTITION BY letter_set ORDER BY word) - 1) // 200000 AS part
+                 FROM probabilities) GROUP BY letter_set, part""",
     ),
     "export_rows": _with(
         _PROBABILITIES,
@@ -470,3 +518,4 @@ ORACLES: dict[str, str] = {
                    AS batch_id) FROM (SELECT {_STATE_TEXT} FROM states)""",
     ),
 }
+ORACLES["publish_exports"] = f"SELECT json, true AS refused FROM ({ORACLES['export_json_lines']})"

@@ -6,9 +6,10 @@ results compare by value with any SQL engine.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
-from pyspark.ml.classification import NaiveBayes, RandomForestClassifier
+from pyspark.ml.classification import NaiveBayes
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,13 +48,10 @@ def _long(column: str) -> Column:
     return F.col(column).cast("bigint").alias(column)
 
 
-def _vector(column: str = "embedding") -> list[Column]:
-    """An embedding as its width, first and last element."""
-    return [
-        F.when(F.col(column).isNotNull(), F.size(column)).cast("bigint").alias("width"),
-        F.get(column, F.lit(0)).cast("double").alias("first"),
-        F.get(column, F.size(column) - 1).cast("double").alias("last"),
-    ]
+def _vector(column: str = "embedding") -> Column:
+    """All elements of an embedding, as text in millionths."""
+    whole = F.transform(column, lambda x: F.round(x.cast("double") * 1_000_000).cast("bigint").cast("string"))
+    return F.array_join(whole, ",").alias(column)
 
 
 def _new_db(spark: SparkSession) -> str:
@@ -98,6 +96,12 @@ def _puzzle_text(documents: DataFrame) -> DataFrame:
     )
 
 
+@query
+def puzzle_date_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    day = dt.date(2018, 1, 20)
+    return _puzzle_text(puzzle_source.puzzles_of_date(_stored_puzzles(spark, sf_dir), day))
+
+
 @query
 def latest_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = derived.table(spark, sf_dir, "documents")
@@ -136,7 +140,7 @@ def table_create_repartitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     db = _new_db(spark)
     vectors = derived.table(spark, sf_dir, "embeddings")
     tables.create_repartitioned_table(vectors, "word_embeddings", db)
-    return spark.table(f"{db}.word_embeddings").select("vec_id", _long("label"), *_vector())
+    return spark.table(f"{db}.word_embeddings").select("vec_id", _long("label"), _vector())
 
 
 @query
@@ -145,8 +149,7 @@ def replace_where(spark: SparkSession, sf_dir: str) -> DataFrame:
     db = _new_db(spark)
     rows = matching.with_decision_dates(Warehouse(spark, sf_dir).decisions)
     parts = lifecycle.DECISION_PARTITIONS
-    first = {"year": 2018, "month": 1}
-    tables.replace_where(rows, "word_decisions", db, first, parts)
+    tables.replace_keys(rows, "word_decisions", db, ["puzzle_date"], parts)
     stored = spark.table(f"{db}.word_decisions")
     day = {"year": 2018, "month": 2, "day": 14}
     chosen = stored.filter("year = 2018 AND month = 2 AND day = 14 AND accepted = 1")
@@ -179,6 +182,22 @@ def export_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("letter_set", _long("part"), "json")
 
 
+@query
+def publish_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two exports are published, an older one is refused; the latest is read back."""
+    root = scratch_path(spark, "exports")
+    words = materialise(Warehouse(spark, sf_dir).probabilities)
+    lifecycle.export_probabilities(words.filter(F.col("source") == "truth"), root, dt.date(2025, 1, 1))
+    lifecycle.export_probabilities(words, root, dt.date(2025, 1, 2))
+    try:
+        lifecycle.export_probabilities(words.limit(0), root, dt.date(2025, 1, 1))
+    except ValueError:
+        refused = True
+    else:
+        refused = False
+    return export.read_latest_export(spark, root).select(F.col("value").alias("json"), F.lit(refused).alias("refused"))
+
+
 @query
 def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = derived.table(spark, sf_dir, "orders")
@@ -242,6 +261,18 @@ def backfill_month_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.month_counts(rows).select(_long("year"), _long("month"), "n")
 
 
+@query
+def backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A year is backfilled, then again without February, which is cleared."""
+    db = _new_db(spark)
+    house = Warehouse(spark, sf_dir)
+    documents = materialise(derived.puzzle_documents(house.answers))
+    lifecycle.backfill_year(documents, house.raw_words, db, 2018)
+    fewer = documents.filter(~F.col("printDate").startswith("2018-02"))
+    lifecycle.backfill_year(fewer, house.raw_words, db, 2018)
+    return _decision_text(spark.table(f"{db}.word_decisions"))
+
+
 @query
 def raw_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = Warehouse(spark, sf_dir).raw_words
@@ -270,13 +301,15 @@ def batch_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def batched_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Resumable batches of the vocabulary; the caller's function counts vowels."""
+    """Batches of the words of even length, then of all; the caller's function counts vowels."""
 
     def share_of_vowels(words: list[str]) -> dict[str, float]:
         return {w: sum(w.count(v) for v in "aeiou") / len(w) for w in words}
 
-    words = derived.vocabulary(spark, sf_dir).select("word")
-    found = enrich.collect_frequencies(words, share_of_vowels, scratch_path(spark, "enriched"), 1000)
+    words = materialise(derived.vocabulary(spark, sf_dir).select("word"))
+    path = scratch_path(spark, "enriched")
+    enrich.collect_frequencies(words.filter(F.length("word") % 2 == 0), share_of_vowels, path, 1000)
+    found = enrich.collect_frequencies(words, share_of_vowels, path, 1000)
     return found.select("word", _double("frequency"), _long("batch_id"))
 
 
@@ -330,7 +363,7 @@ def validate_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def words_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Warehouse(spark, sf_dir).joined_words.select(
-        "word", "letter_set", _day("date_added"), _long("version"), _double("frequency"), *_vector()
+        "word", "letter_set", _day("date_added"), _long("version"), _double("frequency"), _vector()
     )
 
 
@@ -342,7 +375,7 @@ def missing_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def incomplete_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.incomplete_words(Warehouse(spark, sf_dir).joined_words).select(
-        "word", "letter_set", _double("frequency"), _vector()[0]
+        "word", "letter_set", _double("frequency"), _vector()
     )
 
 
@@ -364,7 +397,7 @@ def _state_text(rows: DataFrame) -> DataFrame:
         "letter_set",
         _day("last_seen_on"),
         _double("frequency"),
-        *_vector(),
+        _vector(),
         _double("label"),
         "batch_id",
     )
@@ -456,11 +489,13 @@ def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def svd_project(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Length of every vector after projection to the full width, which keeps it."""
     rows = features.with_log_frequency(_training_frame(spark, sf_dir))
-    factors, _ = hybrid.fit_svd(rows, 16)
+    width = rows.select(F.max(F.size("embedding"))).first()[0]
+    factors, _ = hybrid.fit_svd(rows, width)
     reduced = hybrid.project(spark, factors)(F.col("embedding"))
-    long = rows.select("vec_id", F.posexplode(reduced).alias("component", "v"))
-    return long.select("vec_id", _long("component"), F.round("v", 6).alias("value"))
+    squares = F.aggregate(reduced, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
+    return rows.select("vec_id", F.round(F.sqrt(squares), 4).alias("length"))
 
 
 def _priced_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -503,48 +538,74 @@ def band_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("l_orderkey", _long("l_linenumber"), "l_quantity", routed.alias("band"))
 
 
-def _small_bands() -> dict[str, hybrid.BandSpec]:
-    bands = hybrid.default_bands(max_iter=100)
-    bands["high"] = hybrid.BandSpec(
-        RandomForestClassifier(numTrees=20, maxDepth=8, seed=0), balanced=True
-    )
-    return bands
+COMPONENTS = 50
+# What any useful model exceeds on its own rows, and on rows it hasn't seen.
+ACCURACY_FLOOR = 0.5
 
 
 def _trained(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, hybrid.WordModel]:
     current = Warehouse(spark, sf_dir).states
-    return current, lifecycle.train_on_states(current, 32, _small_bands())
+    return current, lifecycle.train_on_states(current, COMPONENTS)
 
 
 @query
 def hybrid_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows, classes and accuracy on the training rows of each trained band."""
+    """Rows and classes that the bands hold together, and whether the model beats the floor."""
     current, model = _trained(spark, sf_dir)
     rows = hybrid.training_rows(current)
     clf = model.classifier
     from anagrove.functions import band
 
     routed = band(F.col("log_frequency"), F.lit(clf.low_mid), F.lit(clf.mid_high))
-    scored = model.transform(rows)
-    return scored.groupBy(routed.alias("band")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("label").alias("positive"),
-        F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("accuracy"),
+    scored = model.transform(rows).withColumn("band", routed)
+    return scored.agg(
+        F.count_if(F.col("band").isin("low", "mid", "high")).alias("n"),
+        F.sum("label").cast("double").alias("positive"),
+        (F.avg((F.col("prediction") == F.col("label")).cast("double")) > ACCURACY_FLOOR).alias("above_floor"),
+        (F.lit(clf.low_mid) < F.lit(clf.mid_high)).alias("edges_ascend"),
     )
 
 
+def _is_chance(column: str) -> Column:
+    return F.coalesce(F.col(column).between(0, 1), F.lit(False))
+
+
 @query
 def hybrid_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every training row with its label, and whether its prediction follows from its chance."""
     current, model = _trained(spark, sf_dir)
     scored = model.transform(hybrid.training_rows(current))
-    return scored.select("word", "label", "prediction", F.round("probability", 6).alias("probability"))
+    follows = F.abs(F.col("prediction") - F.col("probability")) <= 0.5
+    return scored.select("word", _double("label"), (_is_chance("probability") & follows).alias("sound"))
 
 
 @query
 def score_unlabeled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every undecided word that can be scored, and whether it got a chance."""
     current, model = _trained(spark, sf_dir)
     scored = hybrid.score_unlabeled(current, model)
-    return scored.select("word", "letter_set", F.round("probability", 6).alias("probability"))
+    return scored.select("word", "letter_set", _is_chance("probability").alias("scored"))
+
+
+@query
+def score_with_model_object(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A caller's own model, here an arithmetic one, over all vectors."""
+
+    def predict(scale, logs, vectors):
+        return scale * (vectors[:, 0] > 0) + 0.25 * (logs >= 2)
+
+    scorer = hybrid.python_scorer(spark, 0.5, predict)
+    rows = _training_frame(spark, sf_dir)
+    return rows.select("vec_id", scorer("frequency", "embedding").cast("double").alias("probability"))
+
+
+@query
+def holdout_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Split, fit on the training part alone, and measure on the test part."""
+    found = lifecycle.evaluate_on_holdout(Warehouse(spark, sf_dir).states, COMPONENTS)
+    return found.select(
+        _double("label"), "n", (F.col("auc").between(0, 1) & F.col("f1").between(0, 1) & F.col("accuracy").between(0, 1)).alias("measured")
+    )
 
 
 @query

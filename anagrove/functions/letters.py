@@ -47,8 +47,8 @@ def subset_keys(center: Column, outer: Column) -> Column:
 
 
 def tokens(text: Column) -> Column:
-    """Lower-case Latin letter runs of a text."""
-    return F.regexp_extract_all(F.lower(text), F.lit("[a-z]+"), F.lit(0))
+    """Lower-case letter runs of a text."""
+    return F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+"), F.lit(0))
 
 
 def unquote_line(line: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterable
 from typing import Any
 
@@ -14,13 +15,12 @@ from pyspark.sql import types as T
 
 from anagrove.functions import embedding_is_valid, tokens
 from anagrove.operators.ranking import assign_batches, batch_log, ordered_chunks
-from anagrove.session import scratch_path
+from anagrove.session import materialise
 
 
-def corpus_frequency(documents: DataFrame, lang: str | None = "en") -> DataFrame:
-    """Count of every token of a text table; ``lang`` filters at the scan."""
-    chosen = documents if lang is None else documents.filter(F.col("lang") == lang)
-    words = chosen.select(F.explode(tokens(F.col("text"))).alias("word"))
+def corpus_frequency(documents: DataFrame) -> DataFrame:
+    """Count of every token of a text table."""
+    words = documents.select(F.explode(tokens(F.col("text"))).alias("word"))
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -97,27 +97,30 @@ def collect_for_batches(
             T.StructField("word", T.StringType(), False),
             T.StructField(data_col, data_type, False),
             T.StructField("batch_id", T.IntegerType(), False),
+            T.StructField("collect_seconds", T.DoubleType(), False),
         ]
     )
 
     def run(batch: pd.DataFrame) -> pd.DataFrame:
+        began = time.monotonic()
         found = collect_fn(sorted(batch["word"]))
         return pd.DataFrame(
             {
                 "word": list(found.keys()),
                 data_col: list(found.values()),
                 "batch_id": int(batch["batch_id"].iloc[0]),
+                "collect_seconds": time.monotonic() - began,
             }
         )
 
     return assigned.groupBy("batch_id").applyInPandas(run, schema)
 
 
-def _committed(spark, log_path: str) -> DataFrame | None:
+def _stored(spark, path: str) -> DataFrame | None:
     try:
-        return spark.read.parquet(log_path).select("batch_id")
-    except Exception as error:  # noqa: BLE001 - only a missing log means a first run
-        if "PATH_NOT_FOUND" in str(error):
+        return spark.read.parquet(path)
+    except Exception as error:  # noqa: BLE001 - only a missing table means a first run
+        if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
             return None
         raise
 
@@ -133,29 +136,42 @@ def enrich_batches(
 ) -> DataFrame:
     """Resumable enrichment of ``words`` into the table at ``path``.
 
-    One Spark job handles a wave of ``batches_per_commit`` batches and replaces
-    that wave's partition; its log partition is written afterwards and marks it
-    done. A rerun anti-joins the log, so it starts at the first unlogged batch
-    (from scratch when there is no log), and a wave that was cut short is
-    replaced as a whole.
+    Words that a finished wave has taken up are left out; the others are sorted
+    and cut into batches, numbered on from the highest logged one. So new words,
+    wherever they sort, and another batch size are fine. One Spark job handles a
+    wave of ``batches_per_commit`` batches and replaces that wave's partition; its
+    log partition, with the times taken, is written afterwards and marks it done.
+    A wave that was cut short has no log and is done again as a whole.
     """
     spark = words.sparkSession
-    data_path, log_path = f"{path}/data", f"{path}/log"
-    wave = F.floor(F.col("batch_id") / batches_per_commit).cast("int")
-    planned_path = scratch_path(spark, "batches")
-    batches = assign_batches(words.select("word").distinct(), batch_size)
-    batches.withColumn("wave", wave).write.partitionBy("wave").parquet(planned_path)
-    planned = spark.read.parquet(planned_path)
-    done = _committed(spark, log_path)
-    pending = planned if done is None else planned.join(done, "batch_id", "left_anti")
+    data_path, log_path, taken_path = f"{path}/data", f"{path}/log", f"{path}/taken"
+    wanted, log = words.select("word").distinct(), _stored(spark, log_path)
+    first_wave = first_batch = first_row = 0
+    if log is not None:
+        last = log.agg(F.max("wave"), F.max("batch_id"), F.max("end_idx")).first()
+        first_wave, first_batch, first_row = (int(last[0]) + 1, int(last[1]) + 1, int(last[2]))
+        finished = _stored(spark, taken_path).filter(F.col("wave") < first_wave)
+        wanted = wanted.join(finished.select("word"), "word", "left_anti")
+    assigned = assign_batches(wanted, batch_size).withColumn("batch_id", F.col("batch_id") + first_batch)
+    assigned = assigned.withColumn("rank", F.col("rank") + first_row)
+    wave = F.floor((F.col("batch_id") - first_batch) / batches_per_commit).cast("int") + first_wave
+    planned = materialise(assigned.withColumn("wave", wave))
     # Wave numbers only: one per batches_per_commit * batch_size words.
-    waves = [row.wave for row in pending.select("wave").distinct().orderBy("wave").toLocalIterator()]
+    waves = [row.wave for row in planned.select("wave").distinct().orderBy("wave").toLocalIterator()]
     for number in waves:
+        began = time.monotonic()
         part = planned.filter(F.col("wave") == number)
         found = collect_for_batches(part, collect_fn, data_col, data_type)
         _replace_wave(found.withColumn("wave", F.lit(number)), data_path)
-        _replace_wave(batch_log(part).withColumn("wave", F.lit(number)), log_path)
-    return spark.read.parquet(data_path).drop("wave")
+        took = time.monotonic() - began
+        done = spark.read.parquet(data_path).filter(F.col("wave") == number)
+        seconds = done.groupBy("batch_id").agg(F.max("collect_seconds").alias("collect_seconds"))
+        logged = batch_log(part).join(seconds, "batch_id", "left").withColumn("wave_seconds", F.lit(took))
+        _replace_wave(part.select("word", "wave"), taken_path)
+        _replace_wave(logged.withColumn("wave", F.lit(number)), log_path)
+    # What a wave without a log has left behind doesn't count.
+    finished = spark.read.parquet(log_path).agg(F.max("wave")).first()[0]
+    return spark.read.parquet(data_path).filter(F.col("wave") <= finished).drop("wave", "collect_seconds")
 
 
 def _replace_wave(df: DataFrame, path: str) -> None:

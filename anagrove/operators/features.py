@@ -56,7 +56,10 @@ def stratified_split(
         F.round(F.sum("_n").over(by_class) * test_share).alias("_quota"),
     )
     position = F.row_number().over(Window.partitionBy(label, "_bucket").orderBy("_digest", key))
-    ranked = hashed.withColumn("_position", position).join(sizes, [label, "_bucket"])
+    sizes = sizes.withColumnRenamed(label, "_label")
+    same_class = F.col(label).eqNullSafe(F.col("_label"))  # rows without a label are a class of their own
+    joined = hashed.withColumn("_position", position).withColumnRenamed("_bucket", "_own_bucket")
+    ranked = joined.join(sizes, same_class & (F.col("_own_bucket") == F.col("_bucket")))
     is_test = F.col("_position") + F.col("_before") <= F.col("_quota")
     return ranked.select(*df.columns, is_test.alias("is_test"))
 

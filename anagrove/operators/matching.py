@@ -11,12 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from anagrove.functions import eligible, letter_set, subset_keys
-from anagrove.operators.skew import (
-    MAX_ROWS_PER_ARRAY,
-    MAX_ROWS_PER_SLICE,
-    bounded_arrays,
-    salted_join,
-)
+from anagrove.operators.skew import WORDS_PER_LINE, salted_join, word_arrays
 
 PUZZLE_KEY = ["puzzle_date", "center_letter", "outer_letters"]
 
@@ -31,13 +26,12 @@ def eligible_words(words: DataFrame) -> DataFrame:
 
 
 def letter_set_index(
-    words: DataFrame, payload: list[str] | None = None, max_rows: int = MAX_ROWS_PER_ARRAY
+    words: DataFrame, payload: list[str] | None = None, words_per_line: int = WORDS_PER_LINE
 ) -> DataFrame:
     """Inverted index from letter set to its words and their payload."""
     usable = eligible_words(words)
-    return bounded_arrays(
-        usable, ["letter_set"], "word", F.struct("word", *(payload or [])), "rows", max_rows
-    )
+    entry = F.struct("word", *(payload or []))
+    return word_arrays(usable, "letter_set", "word", entry, "rows", words_per_line)
 
 
 def normalise_puzzles(documents: DataFrame) -> DataFrame:
@@ -68,30 +62,33 @@ def puzzle_letter_keys(puzzles: DataFrame, distinct: bool = False) -> DataFrame:
 def matching_words(
     puzzles: DataFrame,
     words: DataFrame,
-    max_rows: int = MAX_ROWS_PER_SLICE,
     distinct: bool = False,
+    slices: int = 1,
 ) -> DataFrame:
     """Every (puzzle, word) such that the word's letter set is a puzzle key.
 
     ``words`` carries ``word``, ``letter_set`` and any payload. The match is an
     equi-join on the letter set: it hashes, shuffles and never compares a puzzle
     with a word it does not admit. Repeated outer letters give repeated rows
-    unless ``distinct`` folds the keys, which costs no shuffle.
+    unless ``distinct`` folds the keys, which costs no shuffle. ``slices`` deals
+    the puzzles of a letter set out, for callers who know one to be hot.
     """
     keys = puzzle_letter_keys(puzzles, distinct)
-    return salted_join(keys, words, "letter_set", "outer_letters", "word", max_rows)
+    return salted_join(keys, words, "letter_set", PUZZLE_KEY, slices)
 
 
 def word_decisions(puzzles: DataFrame, answers: DataFrame, words: DataFrame) -> DataFrame:
     """Union of official answers and matches per puzzle; accepted when official.
 
-    Answers outside the word list stay, as accepted. The set union is one hash
+    ``words`` holds all known words, listed or new, so an answer accepted once can
+    be rejected by a later puzzle. Answers outside of it stay, as accepted. The set union is one hash
     aggregation over both inputs rather than a full outer join. Nearly all rows
     are distinct, so they are shuffled first: a map-side table would only copy
     them, and a (puzzle, word) key has too few rows to be hot.
     """
     columns = ["word", "center_letter", "outer_letters", "puzzle_date"]
-    matched = matching_words(puzzles, words.select("word", "letter_set"), distinct=True)
+    known = words.filter(eligible(F.col("word"), F.col("letter_set"))).select("word", "letter_set")
+    matched = matching_words(puzzles, known, distinct=True)
     official = answers.select(*columns, F.lit(1.0).cast("float").alias("accepted"))
     implicit = matched.select(*columns, F.lit(0.0).cast("float").alias("accepted"))
     both = official.unionByName(implicit).repartition(*columns)
@@ -109,7 +106,7 @@ def with_decision_dates(decisions: DataFrame) -> DataFrame:
 def month_counts(decisions: DataFrame) -> DataFrame:
     """Decisions per month of every year present; empty months count 0."""
     counted = decisions.groupBy("year", "month").agg(F.count(F.lit(1)).alias("n"))
-    years = decisions.select("year").distinct()
+    years = counted.select("year").distinct()
     calendar = years.select("year", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("month"))
     return calendar.join(counted, ["year", "month"], "left").fillna(0, ["n"])
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from anagrove.operators.matching import PUZZLE_KEY, matching_words
-from anagrove.operators.skew import MAX_ROWS_PER_ARRAY, MAX_ROWS_PER_SLICE, bounded_arrays
+from anagrove.operators.skew import WORDS_PER_LINE, word_arrays
 
 
 def top_probabilities(
@@ -17,10 +17,10 @@ def top_probabilities(
     return words.filter(F.col("source") == source).orderBy(order, "word").limit(n)
 
 
-def letter_set_groups(words: DataFrame, max_rows: int = MAX_ROWS_PER_ARRAY) -> DataFrame:
+def letter_set_groups(words: DataFrame, words_per_line: int = WORDS_PER_LINE) -> DataFrame:
     """Words with probability and date, grouped by letter set."""
     element = F.struct("word", "probability", "last_seen_on", "letter_set")
-    return bounded_arrays(words, ["letter_set"], "word", element, "data", max_rows)
+    return word_arrays(words, "letter_set", "word", element, "data", words_per_line)
 
 
 def export_rows(groups: DataFrame) -> DataFrame:
@@ -37,10 +37,8 @@ def export_rows(groups: DataFrame) -> DataFrame:
     return groups.select("letter_set", "part", entry.alias("data"))
 
 
-def solve_puzzles(
-    puzzles: DataFrame, words: DataFrame, max_rows: int = MAX_ROWS_PER_SLICE
-) -> DataFrame:
+def solve_puzzles(puzzles: DataFrame, words: DataFrame, slices: int = 1) -> DataFrame:
     """Words of each puzzle, most probable first."""
     payload = words.select("word", "letter_set", "probability", "source")
-    found = matching_words(puzzles.select(*PUZZLE_KEY), payload, max_rows, distinct=True)
+    found = matching_words(puzzles.select(*PUZZLE_KEY), payload, distinct=True, slices=slices)
     return found.orderBy("puzzle_date", F.col("probability").desc(), "word")

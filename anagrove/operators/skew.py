@@ -1,11 +1,8 @@
 """Joins and groupings that stay balanced when one key holds much of the data.
 
-Each starts with one counting job per key, which combines on the map side and
-returns a few numbers. Most data has no hot key and then gets the plain plan.
-Otherwise only keys with more than ``max_rows`` rows are split, so at most
-``rows / max_rows`` keys are ever listed: with the default of one million, a
-trillion input rows list a million keys, some tens of megabytes. That bound is
-what makes broadcasting the list safe.
+Plans don't depend on the size of the data. Skewed shuffle partitions of a join
+are split by adaptive execution while it runs; a caller who knows of a hot key may
+also ask for a fixed number of slices. Arrays are cut by one rule at any size.
 """
 
 from __future__ import annotations
@@ -13,88 +10,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from anagrove.session import materialise, shuffle_partitions
+from anagrove.operators.ranking import positions
 
-MAX_ROWS_PER_SLICE = 1_000_000
-MAX_ROWS_PER_ARRAY = 200_000
-# Rows per task up to which one join side is hashed in memory instead of sorted.
-MAX_HASHED_ROWS_PER_TASK = 1_000_000
+# Words per array row.
+WORDS_PER_LINE = 200_000
 
 
-def _slice_of(member: Column, slices: Column) -> Column:
-    return F.pmod(F.xxhash64(member), slices).cast("int")
+def salted_join(left: DataFrame, right: DataFrame, key: str, members: list[str], slices: int = 1) -> DataFrame:
+    """Inner equi-join on ``key``; ``slices`` deals the left rows of every key out.
 
-
-def salted_join(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    left_member: str,
-    right_member: str,
-    max_rows: int = MAX_ROWS_PER_SLICE,
-) -> DataFrame:
-    """Inner equi-join on ``key`` that splits hot keys on both sides.
-
-    A hot key gets a grid of left slices by right slices. Each row lands in one
-    slice of its own side and is repeated over the slices of the other side, so
-    every pair meets exactly once and no task sees a whole hot key. The right
-    side is hashed when its counted size per task allows, else both are sorted.
+    The slice is a hash of ``members``, which should identify a left row; each
+    right row is then repeated once per slice.
     """
-    sides = left.select(key, F.lit(1).alias("_l"), F.lit(0).alias("_r")).unionByName(
-        right.select(key, F.lit(0).alias("_l"), F.lit(1).alias("_r"))
-    )
-    rows = sides.groupBy(key).agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
-    is_hot = (F.col("_l") > max_rows) | (F.col("_r") > max_rows)
-    found = rows.agg(F.count_if(is_hot).alias("hot"), F.sum("_r").alias("right")).first()
-    tasks = shuffle_partitions(left.sparkSession)
-    hashable = (found.right or 0) <= tasks * MAX_HASHED_ROWS_PER_TASK
-    if not found.hot:
-        return left.join(right.hint("shuffle_hash") if hashable else right, key)
-    hot = F.broadcast(
-        materialise(
-            rows.filter(is_hot).select(
-                key,
-                F.ceil(F.col("_l") / max_rows).cast("int").alias("_left_slices"),
-                F.ceil(F.col("_r") / max_rows).cast("int").alias("_right_slices"),
-            )
-        )
-    )
-
-    def tag(df: DataFrame, member: str, own: str, other: str) -> DataFrame:
-        own_slices = F.greatest(F.col(f"_{own}_slices"), F.lit(1))
-        other_slices = F.greatest(F.col(f"_{other}_slices"), F.lit(1))
-        return (
-            df.join(hot, key, "left")
-            .withColumn(f"_{own}", _slice_of(F.col(member), own_slices))
-            .withColumn(f"_{other}", F.explode(F.sequence(F.lit(0), other_slices - 1)))
-            .drop("_left_slices", "_right_slices")
-        )
-
-    tagged_left = tag(left, left_member, "left", "right")
-    tagged_right = tag(right, right_member, "right", "left")
-    return tagged_left.join(tagged_right, [key, "_left", "_right"]).drop("_left", "_right")
+    if slices <= 1:
+        return left.join(right, key)
+    dealt = left.withColumn("_slice", F.pmod(F.xxhash64(*members), F.lit(slices)).cast("int"))
+    copied = right.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
+    return dealt.join(copied, [key, "_slice"]).drop("_slice")
 
 
-def bounded_arrays(
-    df: DataFrame,
-    keys: list[str],
-    member: str,
-    element: Column,
-    alias: str,
-    max_rows: int = MAX_ROWS_PER_ARRAY,
+def word_arrays(
+    df: DataFrame, key: str, member: str, element: Column, alias: str, words_per_line: int = WORDS_PER_LINE
 ) -> DataFrame:
-    """Group rows into sorted arrays, one row per key and ``part``.
+    """Group rows into arrays in order of ``member``, one row per key and ``part``.
 
-    Keys up to ``max_rows`` rows give a single part 0. Larger ones are spread by
-    a hash of ``member``; together their parts hold every row exactly once.
+    ``part`` is the position within the key divided by ``words_per_line``, so the
+    parts of a key, read in order, are its words in order. Key and member must
+    identify a row.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = counts.filter(F.col("_rows") > max_rows)
-    array = F.sort_array(F.collect_list(element)).alias(alias)
-    if hot.isEmpty():
-        return df.groupBy(*keys).agg(array).select(*keys, F.lit(0).alias("part"), alias)
-    slices = hot.select(*keys, F.ceil(F.col("_rows") / max_rows).cast("int").alias("_slices"))
-    tagged = df.join(F.broadcast(materialise(slices)), keys, "left").withColumn(
-        "part", _slice_of(F.col(member), F.coalesce("_slices", F.lit(1)))
-    )
-    return tagged.groupBy(*keys, "part").agg(array)
+    placed = positions(df, key, [F.col(member)], "_position")
+    parted = placed.withColumn("part", F.floor(F.col("_position") / words_per_line).cast("int"))
+    pairs = F.sort_array(F.collect_list(F.struct("_position", element.alias("_e"))))
+    return parted.groupBy(key, "part").agg(pairs.alias("_pairs")).select(key, "part", F.col("_pairs._e").alias(alias))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from anagrove.operators.enrich import corpus_frequency, join_word_data
@@ -20,7 +20,7 @@ from anagrove.operators.matching import (
     raw_words,
     word_decisions,
 )
-from anagrove.operators.skew import bounded_arrays
+from anagrove.operators.ranking import global_rank
 from anagrove.operators.states import (
     decisions_as_updates,
     enrich_new_words,
@@ -39,25 +39,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every token of the English documents with its count."""
+    """Every token of the documents with its count."""
     return corpus_frequency(table(spark, sf_dir, "documents"))
 
 
 def puzzles(listed: DataFrame) -> DataFrame:
     """One puzzle per distinct seven-letter set, one per day in letter order.
 
-    Sets are numbered by counting within their three-letter prefix and adding
-    the sizes of earlier prefixes. A prefix has at most C(23, 4) sets and there
-    are at most 26^3 prefixes, so both windows are bounded by the alphabet.
+    A set that upper case gives a letter twice is left out.
     """
-    sets = listed.filter(F.length("letter_set") == 7).select("letter_set").distinct()
-    prefixed = sets.withColumn("prefix", F.substring("letter_set", 1, 3))
-    sizes = prefixed.groupBy("prefix").agg(F.count(F.lit(1)).alias("n"))
-    earlier = Window.orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("prefix", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
-    within = F.row_number().over(Window.partitionBy("prefix").orderBy("letter_set"))
-    numbered = prefixed.withColumn("within", within).join(offsets, "prefix")
-    number = (F.col("offset") + F.col("within") - 1).cast("int")
+    distinct_letters = F.size(F.array_distinct(F.split("letter_set", "")))
+    sets = listed.filter((F.length("letter_set") == 7) & (distinct_letters == 7)).select("letter_set").distinct()
+    numbered = global_rank(sets, [F.col("letter_set")])
+    number = (F.col("rank") - 1).cast("int")
     center = F.substring("letter_set", F.pmod(number, F.lit(7)) + 1, F.lit(1))
     return numbered.select(
         F.date_add(F.to_date(F.lit(FIRST_PUZZLE_DATE)), number).alias("puzzle_date"),
@@ -69,21 +63,21 @@ def puzzles(listed: DataFrame) -> DataFrame:
 def official_answers(listed: DataFrame, puzzle_rows: DataFrame) -> DataFrame:
     """Matches at least as frequent as the day of the month, plus one made-up word.
 
-    The bar changes from puzzle to puzzle, so a word's latest decision matters;
-    the made-up word, all letters twice, lies outside the word list.
+    The bar changes from puzzle to puzzle, so a word's latest decision matters. The
+    made-up word, the centre and the first four outer letters twice, fits several
+    puzzles: those that don't make it up themselves reject it.
     """
     found = matching_words(puzzle_rows, listed.select("word", "letter_set", "n"), distinct=True)
     common = found.filter(F.col("n") >= F.dayofmonth("puzzle_date")).select(*PUZZLE_KEY, "word")
-    letters = F.array_join(
-        F.array_sort(F.split(F.concat("center_letter", "outer_letters"), "")), ""
-    )
-    made_up = puzzle_rows.select(*PUZZLE_KEY, F.repeat(F.lower(letters), F.lit(2)).alias("word"))
+    five = F.concat("center_letter", F.substring("outer_letters", 1, 4))
+    letters = F.array_join(F.array_sort(F.split(F.lower(five), "")), "")
+    made_up = puzzle_rows.select(*PUZZLE_KEY, F.repeat(letters, F.lit(2)).alias("word"))
     return common.unionByName(made_up)
 
 
 def puzzle_documents(answers: DataFrame) -> DataFrame:
-    """Answers as puzzle documents; a document that would grow too large is split."""
-    grouped = bounded_arrays(answers, PUZZLE_KEY, "word", F.col("word"), "answers")
+    """Answers as puzzle documents, one for each puzzle."""
+    grouped = answers.groupBy(*PUZZLE_KEY).agg(F.sort_array(F.collect_list("word")).alias("answers"))
     return grouped.select(
         F.date_format("puzzle_date", "yyyy-MM-dd").alias("printDate"),
         F.lower("center_letter").alias("centerLetter"),
@@ -92,11 +86,21 @@ def puzzle_documents(answers: DataFrame) -> DataFrame:
     )
 
 
-def embeddings(vectors: DataFrame, listed: DataFrame) -> DataFrame:
+def _digest() -> Column:
+    return F.conv(F.substring(F.md5("word"), 1, 8), 16, 10).cast("bigint")
+
+
+def frequencies(words: DataFrame, counted: DataFrame) -> DataFrame:
+    """Counts of the listed words; of new words, every second one has its length."""
+    listed = counted.select("word", F.col("n").cast("double").alias("frequency"))
+    known = words.filter((F.col("version") == 2) & (_digest() % 2 == 0))
+    return listed.unionByName(known.select("word", F.length("word").cast("double").alias("frequency")))
+
+
+def embeddings(vectors: DataFrame, words: DataFrame) -> DataFrame:
     """A vector per word, picked by a digest; about one word in twenty gets none."""
     slots = vectors.agg(F.floor(F.count(F.lit(1)) * 1.05)).scalar()
-    digest = F.conv(F.substring(F.md5("word"), 1, 8), 16, 10).cast("bigint")
-    placed = listed.select("word", F.pmod(digest, slots).alias("vec_id"))
+    placed = words.select("word", F.pmod(_digest(), slots).alias("vec_id"))
     return placed.join(vectors, "vec_id").select("word", "embedding")
 
 
@@ -142,19 +146,19 @@ class Warehouse:
 
     @cached_property
     def decisions(self) -> DataFrame:
-        return word_decisions(self.puzzles, self.answers, self.words)
+        return materialise(word_decisions(self.puzzles, self.answers, self.raw_words))
 
     @property
     def frequencies(self) -> DataFrame:
-        return self.words.select("word", F.col("n").cast("double").alias("frequency"))
+        return frequencies(self.raw_words, self.words)
 
     @property
     def embeddings(self) -> DataFrame:
-        return embeddings(self.given("embeddings").select("vec_id", "embedding"), self.words)
+        return embeddings(self.given("embeddings").select("vec_id", "embedding"), self.raw_words)
 
-    @property
+    @cached_property
     def raw_words(self) -> DataFrame:
-        return raw_words(self.words, self.answers)
+        return materialise(raw_words(self.words, self.answers))
 
     @cached_property
     def joined_words(self) -> DataFrame:

@@ -7,9 +7,10 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anagrove.operators.features import probabilities
+from anagrove.operators.features import probabilities, stratified_split
 from anagrove.operators.hybrid import BandSpec, WordModel, score_unlabeled, train, training_rows
 from anagrove.operators.matching import month_counts, split_documents, with_decision_dates, word_decisions
+from anagrove.operators.metrics import binary_metrics, roc_auc
 from anagrove.operators.serving import export_rows, letter_set_groups
 from anagrove.operators.states import decisions_as_updates, enrich_new_words, merge_states
 from anagrove.operators.thresholds import best_thresholds, threshold_grid
@@ -23,9 +24,12 @@ DECISION_PARTITIONS = ["year", "month"]
 def backfill_year(documents: DataFrame, words: DataFrame, db: str, year: int) -> DataFrame:
     """Decisions of a whole year in one job, replacing that year's months.
 
-    Months without puzzles end up empty. Returns the count of every month.
+    ``words`` are all known ones, listed and new. Months without puzzles end up
+    empty. Returns the count of every month.
     """
     spark = words.sparkSession
+    if "year" in documents.columns:
+        documents = documents.filter(F.col("year") == year)  # prunes to the year's folders
     puzzles, answers = split_documents(documents)
     of_year = F.year("puzzle_date") == year
     found = word_decisions(puzzles.filter(of_year), answers.filter(of_year), words)
@@ -54,12 +58,30 @@ def train_on_states(
     return train(rows, (edges.low, edges.high), components, bands)
 
 
+def evaluate_on_holdout(states: DataFrame, components: int, bands: dict[str, BandSpec] | None = None) -> DataFrame:
+    """Test rows per label with the metrics of a model that never saw them.
+
+    Decided words are split by class; edges, projection and models come from the
+    training part alone.
+    """
+    rows = materialise(stratified_split(training_rows(states), "word"))
+    seen = rows.filter(~F.col("is_test")).drop("is_test")
+    edges = best_thresholds(threshold_grid(seen)).first()
+    model = train(seen, (edges.low, edges.high), components, bands)
+    scored = materialise(model.transform(rows.filter("is_test")).select("word", "label", "prediction", "probability"))
+    measured = binary_metrics(scored).select("accuracy", "f1")
+    area = roc_auc(scored.withColumnRenamed("probability", "score"))
+    sizes = scored.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    one = {"accuracy": measured.select("accuracy"), "f1": measured.select("f1"), "auc": area.select("auc")}
+    return sizes.select("*", *[value.scalar().alias(name) for name, value in one.items()])
+
+
 def publish_probabilities(
     states: DataFrame, model: WordModel, db: str, batch_id: str, model_version: int
 ) -> DataFrame:
     """Write truth and scored rows, replacing an earlier run of the batch."""
     rows = probabilities(states, score_unlabeled(states, model), batch_id, model_version)
-    replace_keys(rows, "word_probabilities", db, ["batch_id"])
+    replace_keys(rows, "word_probabilities", db, ["batch_id"], ["batch_id"], keys_fix_partition=True)
     return states.sparkSession.table(f"{db}.word_probabilities")
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,7 +34,32 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no earlier run has used."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    for made in _OPEN:
+        made.append(path)
+    return path
+
+
+_OPEN: list[list[str]] = []
+
+
+@contextmanager
+def stages(spark: SparkSession) -> Iterator[None]:
+    """Remove, at the end, all stages that were made within.
+
+    For callers who have used or written a result by then: a frame that still
+    reads such a stage can't be computed afterwards.
+    """
+    made: list[str] = []
+    _OPEN.append(made)
+    try:
+        yield
+    finally:
+        _OPEN[:] = [m for m in _OPEN if m is not made]
+        context = spark.sparkContext
+        for path in made:
+            target = context._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def scratch_name(label: str) -> str:

@@ -80,14 +80,15 @@ def replace_where(
     name = f"{db}.{table}"
     if not values:
         raise ValueError("replace_where needs at least one column value")
-    if not spark.catalog.tableExists(name):
-        _first_write(df, name, partitions)
-        return
-    current = spark.table(name)
-    hit = _matches(values, current.schema)
+    exists = spark.catalog.tableExists(name)
+    hit = _matches(values, spark.table(name).schema if exists else df.schema)
     fits = F.when(hit, F.lit(True)).otherwise(
         F.raise_error(F.lit("a new row lies outside the replaced range")).cast("boolean")
     )
+    if not exists:
+        _first_write(df.filter(fits), name, partitions)
+        return
+    current = spark.table(name)
     # Cut the lineage: the new rows are read several times below and may come
     # from the very table that is about to change.
     fresh = materialise(df.filter(fits).select(*current.columns))
@@ -95,11 +96,18 @@ def replace_where(
 
 
 def replace_keys(
-    df: DataFrame, table: str, db: str, keys: list[str], partitions: list[str] | None = None
+    df: DataFrame,
+    table: str,
+    db: str,
+    keys: list[str],
+    partitions: list[str] | None = None,
+    keys_fix_partition: bool = False,
 ) -> None:
     """Replace the rows whose ``keys`` occur in ``df``, such as whole days.
 
-    As ``replace_where`` for many values at once; all other rows stay.
+    As ``replace_where`` for many values at once; all other rows stay. With
+    ``keys_fix_partition`` equal keys lie in one partition, as days do in months;
+    then only the partitions of the new rows are read.
     """
     spark = df.sparkSession
     _require_db(spark, db)
@@ -110,6 +118,9 @@ def replace_keys(
     current = spark.table(name)
     fresh = materialise(df.select(*current.columns))
     replaced = fresh.select(*keys).distinct()
+    if keys_fix_partition and partitions:
+        touched = _partition_values(fresh, partitions)
+        current = current.filter(_in_partitions(touched, partitions)) if touched else current.limit(0)
     _rewrite(
         table,
         db,
@@ -150,6 +161,12 @@ def _rewrite(
     spark.catalog.refreshTable(name)
 
 
+def rows_of_partitions(table: DataFrame, like: DataFrame, partitions: list[str]) -> DataFrame:
+    """Rows in those partitions that ``like`` has rows of, pruned at the scan."""
+    touched = _partition_values(like, partitions)
+    return table.filter(_in_partitions(touched, partitions)) if touched else table.limit(0)
+
+
 def _sql_literal(value: Any) -> str:
     if value is None:
         return "NULL"

@@ -11,26 +11,52 @@ PUZZLE_SCHEMA = (
     "printDate string, centerLetter string, outerLetters array<string>, answers array<string>"
 )
 
+# Folders that puzzles are written below.
+FOLDERS = "year int, month int, date date"
+
 # Fixed value: the page variable that holds the puzzles.
 GAME_VARIABLE = "window.gameData"
 
 
-def read_puzzles(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Puzzles below ``path``, with the folders' ``year`` and ``month``.
+# Documents with more than one suffix, such as x.latest.json, are copies of others;
+# files that Spark wrote have several dots as well but are no documents' names.
+COPY_NAME = r"\..*\."
+WRITTEN_NAME = r"^part-.*\.c\d+\.json$"
+
+
+def puzzle_reader(reader, path: str, multi_line: bool = True) -> DataFrame:
+    """Puzzles below ``path`` from a batch or stream reader, one rule for both.
 
-    ``multi_line`` reads files of one indented object each and skips names with
-    more than one suffix, such as ``x.latest.json``. Without it, files hold one
-    object per line, as Spark writes them.
+    With ``multi_line`` a file is one indented object, or one object per line if
+    every line is a whole object. Without it, every line is an object. A file that
+    isn't so stops the job. ``file_name`` and ``modified`` tell where a row is from.
     """
-    puzzles = (
-        spark.read.schema(PUZZLE_SCHEMA + ", year int, month int")
-        .option("multiLine", multi_line)
-        .option("pathGlobFilter", "*.json")
-        .json(path)
-    )
+    reader = reader.option("pathGlobFilter", "*.json")
+    origin_name = F.col("_metadata.file_name")
+    origin = [origin_name.alias("file_name"), F.col("_metadata.file_modification_time").alias("modified")]
     if not multi_line:
-        return puzzles
-    return puzzles.filter(~F.col("_metadata.file_name").rlike(r"\..*\."))
+        rows = reader.schema(PUZZLE_SCHEMA + ", " + FOLDERS).option("mode", "FAILFAST").json(path).select("*", *origin)
+    else:
+        files = reader.text(path, wholetext=True)
+        for folder, kind in (f.split(" ") for f in FOLDERS.split(", ")):
+            if folder not in files.columns:
+                named = F.try_to_timestamp(F.left(origin_name, F.lit(10)), F.lit("yyyy-MM-dd")) if folder == "date" else F.lit(None)
+                files = files.withColumn(folder, named.cast(kind))
+        files = files.select("*", *origin)
+        lines = F.filter(F.split("value", r"\r?\n"), lambda x: F.trim(x) != "")
+        is_lines = F.forall(lines, lambda x: x.rlike(r"^\s*\{.*\}\s*$"))
+        each = files.withColumn("value", F.explode(F.when(is_lines, lines).otherwise(F.array("value"))))
+        # Within brackets, a second object after the first is an error too.
+        text = F.concat(F.lit("["), F.col("value"), F.lit("]"))
+        found = F.from_json(text, f"array<struct<{_as_struct(PUZZLE_SCHEMA)}>>", {"mode": "FAILFAST"})
+        rows = each.select(F.explode(found).alias("p"), "year", "month", "date", "file_name", "modified")
+        rows = rows.select("p.*", "year", "month", "date", "file_name", "modified")
+    return rows.filter(~F.col("file_name").rlike(COPY_NAME) | F.col("file_name").rlike(WRITTEN_NAME))
+
+
+def read_puzzles(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Puzzles below ``path``, with the folders' ``year``, ``month`` and ``date``."""
+    return puzzle_reader(spark.read, path, multi_line).drop("file_name", "modified")
 
 
 def puzzles_of_month(puzzles: DataFrame, year: int, month: int) -> DataFrame:
@@ -39,8 +65,10 @@ def puzzles_of_month(puzzles: DataFrame, year: int, month: int) -> DataFrame:
 
 
 def puzzles_of_date(puzzles: DataFrame, date: dt.date) -> DataFrame:
-    month = puzzles_of_month(puzzles, date.year, date.month)
-    return month.filter(F.col("printDate") == date.isoformat())
+    """Prunes to the date's folder, or to files named for the date."""
+    named = F.col("date") == F.lit(date)
+    unnamed = F.col("date").isNull() & (F.col("printDate") == date.isoformat())
+    return puzzles_of_month(puzzles, date.year, date.month).filter(named | unnamed)
 
 
 def script_body(html: Column, pattern: str) -> Column:

@@ -29,12 +29,6 @@ def latest_version(files: DataFrame, column: str = "file_name") -> DataFrame:
 
 
 def latest_word_list(spark: SparkSession, path: str) -> DataFrame:
-    """Latest version among the ``.txt`` files below ``path``."""
-    names = (
-        spark.read.option("pathGlobFilter", "*.txt")
-        .option("recursiveFileLookup", True)
-        .text(path)
-        .select("_metadata.file_path")
-        .distinct()
-    )
-    return latest_version(names, "file_path")
+    """Latest version among the ``.txt`` files below ``path``, which are only listed."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").option("recursiveFileLookup", True)
+    return latest_version(files.load(path).select(F.col("path").alias("file_path")), "file_path")

@@ -8,8 +8,16 @@ from pyspark.sql.streaming import StreamingQuery
 
 from anagrove.operators.matching import split_documents, with_decision_dates, word_decisions
 from anagrove.plans.lifecycle import DECISION_PARTITIONS, update_states
-from anagrove.sinks.tables import replace_keys
-from anagrove.sources.puzzles import PUZZLE_SCHEMA
+from anagrove.session import materialise
+from anagrove.sinks.tables import replace_keys, rows_of_partitions
+from anagrove.sources.puzzles import puzzle_reader
+
+
+def newest_of_day(documents: DataFrame) -> DataFrame:
+    """The newest document of each day: by modification time, then file name."""
+    newest = documents.groupBy("printDate").agg(F.max(F.struct("modified", "file_name")).alias("_newest"))
+    origin = F.struct("modified", "file_name")
+    return documents.join(newest, "printDate").filter(origin == F.col("_newest")).drop("_newest")
 
 
 def ingest_puzzles(
@@ -27,25 +35,25 @@ def ingest_puzzles(
     Each micro-batch replaces its days in ``db.word_decisions`` and merges its
     latest decisions into ``db.word_states``. Both steps give the same tables
     when a micro-batch is replayed, and the merge keeps states that are newer
-    than a late puzzle. ``db.words`` supplies the word list.
+    than a late puzzle. ``db.words`` supplies the known words, listed and new. Of
+    several documents for a day the newest holds (by modification time, then
+    name), whether they come in one micro-batch or in several.
     """
-    reader = spark.readStream.schema(PUZZLE_SCHEMA + ", year int, month int").option(
-        "multiLine", multi_line
-    )
+    reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    documents = reader.json(source).drop("year", "month")
+    documents = puzzle_reader(reader, source, multi_line)
 
     def process(batch: DataFrame, epoch: int) -> None:
         session = batch.sparkSession
-        listed = session.table(f"{db}.words").filter(F.col("version") == 1)
-        puzzles, answers = split_documents(batch)
-        found = with_decision_dates(word_decisions(puzzles, answers, listed))
-        replace_keys(found, "word_decisions", db, ["puzzle_date"], DECISION_PARTITIONS)
+        puzzles, answers = split_documents(newest_of_day(batch))
+        found = materialise(with_decision_dates(word_decisions(puzzles, answers, session.table(f"{db}.words"))))
+        replace_keys(found, "word_decisions", db, ["puzzle_date"], DECISION_PARTITIONS, keys_fix_partition=True)
         # The stream runs in a copy of the session; the caller's file listing must follow.
         spark.catalog.refreshTable(f"{db}.word_decisions")
         dates = puzzles.select("puzzle_date").distinct()
-        stored = session.table(f"{db}.word_decisions").join(dates, "puzzle_date", "left_semi")
+        months = rows_of_partitions(session.table(f"{db}.word_decisions"), found, DECISION_PARTITIONS)
+        stored = months.join(dates, "puzzle_date", "left_semi")
         update_states(session, db, stored, f"{batch_prefix}_{epoch}", buckets)
 
     return (

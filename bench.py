@@ -12,14 +12,15 @@ import os
 import tempfile
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from anagrove.catalogue.queries import QUERIES
 from anagrove.operators import matching, serving
 from anagrove.operators import states as word_states
+from anagrove.plans import lifecycle
 from anagrove.plans.derived import Warehouse
-from anagrove.session import materialise
+from anagrove.session import materialise, stages
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -33,6 +34,9 @@ WHOLE_QUERIES = [
     "roc_auc",
     "error_slices",
     "mean_pool",
+    "merge_states",
+    "replace_where",
+    "incremental_ingest",
 ]
 
 
@@ -54,8 +58,11 @@ def session() -> SparkSession:
     return spark
 
 
-def run(df: DataFrame) -> None:
-    df.write.format("noop").mode("overwrite").save()
+def run(df: DataFrame) -> int:
+    """Compute all of ``df``; returns its rows, counted on the way."""
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.format("noop").mode("overwrite").save()
+    return seen.get["n"]
 
 
 def every_center(puzzles: DataFrame) -> DataFrame:
@@ -72,16 +79,20 @@ def every_center(puzzles: DataFrame) -> DataFrame:
 def main() -> None:
     spark = session()
     times: dict[str, float] = {}
+    rows: dict[str, int] = {}
 
     def timed(name, work):
         start = time.time()
         result = work()
         times[name] = round(time.time() - start, 3)
+        if isinstance(result, int):
+            rows[name] = result
         return result
 
     run(spark.read.parquet(f"{SF_DIR}/region.parquet"))  # start the executors
     for name in WHOLE_QUERIES:
-        timed(name, lambda: run(QUERIES[name](spark, SF_DIR)))
+        with stages(spark):
+            timed(name, lambda: run(QUERIES[name](spark, SF_DIR)))
     house = Warehouse(spark, SF_DIR)
     timed("words", lambda: house.words)
     house.answers
@@ -96,6 +107,7 @@ def main() -> None:
     house.joined_words
     timed("states", lambda: house.states)
     timed("word_probabilities", lambda: run(house.probabilities))
+    timed("train", lambda: lifecycle.train_on_states(house.states, 50))
     timed("letter_set_groups", lambda: run(serving.letter_set_groups(house.probabilities)))
     timed("solve_puzzle", lambda: run(serving.solve_puzzles(house.puzzles, house.probabilities)))
     print(
@@ -105,6 +117,7 @@ def main() -> None:
                 "value": round(sum(times.values()), 3),
                 "unit": "sec",
                 "queries": times,
+                "rows": rows,
                 "sf": os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf"),
             }
         )

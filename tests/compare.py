@@ -12,6 +12,8 @@ import duckdb
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
+from anagrove.session import stages  # noqa: E402
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
@@ -39,8 +41,9 @@ def canonical(columns, rows):
 
 def compare(spark, con, name, run, sql, sf_dir):
     """None when equal, else a short account of the difference."""
-    df = run(spark, sf_dir)
-    names, ours = canonical(df.columns, [tuple(r) for r in df.collect()])
+    with stages(spark):
+        df = run(spark, sf_dir)
+        names, ours = canonical(df.columns, [tuple(r) for r in df.collect()])
     if sql is None:
         return None if ours else "no rows"
     cursor = con.execute(sql)

@@ -82,3 +82,17 @@ def test_batches_resume_where_they_stopped(spark):
     assert {values[f"w{i:02d}"] for i in range(10)} == {1.0}
     assert {values[f"w{i:02d}"] for i in range(10, 25)} == {2.0}
     assert found.groupBy("word").count().filter(F.col("count") > 1).isEmpty()
+
+
+def test_new_words_are_enriched_wherever_they_sort(spark, tmp_path):
+    args = dict(path=str(tmp_path / "e"), data_col="frequency", data_type=T.FloatType())
+    first = spark.createDataFrame([("b",), ("c",), ("d",)], "word string")
+    enrich.enrich_batches(first, lambda batch: {w: 1.0 for w in batch}, batch_size=2, **args)
+    more = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "word string")
+    found = enrich.enrich_batches(more, lambda batch: {w: 2.0 for w in batch}, batch_size=3, **args)
+    assert {(r.word, r.frequency, r.batch_id) for r in found.collect()} == {
+        ("b", 1.0, 0), ("c", 1.0, 0), ("d", 1.0, 1), ("a", 2.0, 2),
+    }
+    log = spark.read.parquet(args["path"] + "/log").orderBy("batch_id").collect()
+    assert [(r.start_idx, r.end_idx) for r in log] == [(0, 2), (2, 3), (3, 4)]
+    assert all(r.collect_seconds >= 0 and r.wave_seconds > 0 for r in log)

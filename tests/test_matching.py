@@ -14,7 +14,7 @@ from anagrove.operators.matching import (
     with_decision_dates,
     word_decisions,
 )
-from anagrove.operators.skew import bounded_arrays, salted_join
+from anagrove.operators.skew import salted_join, word_arrays
 from anagrove.sources.puzzles import PUZZLE_SCHEMA
 
 DAY = dt.date(2024, 1, 1)
@@ -59,7 +59,7 @@ def test_repeated_outer_letters_repeat_matches(puzzles, words):
 
 def test_split_hot_keys_give_the_same_rows(puzzles, words):
     plain = matching_words(puzzles, words)
-    split = matching_words(puzzles, words, max_rows=2)
+    split = matching_words(puzzles, words, slices=3)
     key = [F.struct(*sorted(plain.columns)).cast("string")]
     assert sorted(r[0] for r in plain.select(*key).collect()) == sorted(
         r[0] for r in split.select(*key).collect()
@@ -67,22 +67,23 @@ def test_split_hot_keys_give_the_same_rows(puzzles, words):
 
 
 def test_salted_join_spreads_a_hot_key(spark):
-    left = spark.range(1000).select(F.lit("k").alias("key"), F.col("id").alias("a"))
-    right = spark.range(30).select(F.lit("k").alias("key"), F.col("id").alias("b"))
-    joined = salted_join(left, right, "key", "a", "b", max_rows=10)
-    assert joined.count() == 30_000
-    assert joined.distinct().count() == 30_000
+    left = spark.range(200).select(F.lit("k").alias("key"), F.col("id").alias("a"))
+    right = spark.range(3).select(F.lit("k").alias("key"), F.col("id").alias("b"))
+    joined = salted_join(left, right, "key", ["a"], slices=4)
+    assert joined.distinct().count() == joined.count() == 600
 
 
-def test_bounded_arrays_keep_every_row(spark):
+def test_word_arrays_are_cut_in_word_order(spark):
     df = spark.range(1000).select(
-        F.when(F.col("id") < 900, "hot").otherwise("cold").alias("key"), F.col("id").alias("m")
+        F.when(F.col("id") % 4 == 0, "b").otherwise("a").alias("key"), F.format_string("w%04d", "id").alias("m")
     )
-    parts = bounded_arrays(df, ["key"], "m", F.col("m"), "ms", max_rows=120).collect()
-    assert sorted(x for r in parts for x in r.ms) == list(range(1000))
-    assert sum(r.key == "hot" for r in parts) == 8
-    assert [r.part for r in parts if r.key == "cold"] == [0]
-    assert max(len(r.ms) for r in parts) < 240
+    parts = word_arrays(df, "key", "m", F.col("m"), "ms", words_per_line=120).collect()
+    for key, size in (("a", 750), ("b", 250)):
+        own = sorted((p for p in parts if p.key == key), key=lambda p: p.part)
+        assert [p.part for p in own] == list(range(-(-size // 120)))
+        assert [len(p.ms) for p in own[:-1]] == [120] * (len(own) - 1)
+        words = [w for p in own for w in p.ms]
+        assert words == sorted(words) and len(words) == size
 
 
 def test_match_plan_has_no_nested_loop(puzzles, words):

@@ -60,3 +60,15 @@ def test_quantiles_equal_numpy(spark):
     )
     found = quantiles(counts, "x", fractions).first().quantiles
     np.testing.assert_allclose(found, np.quantile(values, fractions), atol=1e-12)
+
+
+def test_a_series_doesnt_depend_on_other_keys(spark):
+    df = spark.range(12).select((F.col("id") % 3).alias("key"), F.col("id").alias("t"))
+    chunks = ordered_chunks(df, "key", [F.col("t")], F.col("t"), 5).collect()
+    assert {(c.key, c.chunk, tuple(c.series)) for c in chunks} == {(k, 0, (k, k + 3, k + 6, k + 9)) for k in range(3)}
+
+
+def test_a_rank_shuffles_the_rows_once(spark):
+    ranked = global_rank(spark.range(1000).toDF("k"), [F.col("k")])
+    ranked.collect()
+    assert "Exchange rangepartitioning" not in ranked._jdf.queryExecution().executedPlan().toString()

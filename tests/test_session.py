@@ -27,3 +27,16 @@ def test_stages_are_read_by_column(spark):
     assert staged.count() == 10
     plan = staged.filter("twice > 4").select("id")._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(twice), GreaterThan(twice,4)]" in plan
+
+
+def test_stages_go_at_the_end(spark):
+    import os
+
+    from anagrove.session import materialise, scratch_path, stages
+
+    with stages(spark):
+        df = materialise(spark.range(5))
+        kept = df.inputFiles()[0].removeprefix("file://")
+        assert df.count() == 5 and os.path.exists(kept)
+    assert not os.path.exists(kept)
+    assert scratch_path(spark, "x") != scratch_path(spark, "x")

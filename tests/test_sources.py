@@ -86,3 +86,33 @@ def test_word_lists(spark, folder):
     assert sorted(r.word for r in words.collect()) == ["abba", "baba"]
     export.write_word_list(words, str(folder / "copy"))
     assert read_word_list(spark, str(folder / "copy")).count() == 2
+
+
+def test_bad_puzzle_files_stop_the_job(spark, tmp_path):
+    from anagrove.sources.puzzles import read_puzzles
+
+    good = '{"printDate": "2024-01-05",\n "centerLetter": "a",\n "outerLetters": ["b"], "answers": ["abba"]}'
+    (tmp_path / "good").mkdir()
+    (tmp_path / "good" / "x.json").write_text(good)
+    (tmp_path / "good" / "lines.json").write_text((good.replace("\n", "") + "\n") * 2)
+    (tmp_path / "good" / "x.latest.json").write_text("not read")
+    assert read_puzzles(spark, str(tmp_path / "good")).filter("centerLetter = 'a'").count() == 3
+    for name, text in {"cut": good[:40], "two": good + "\n" + good}.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "x.json").write_text(text)
+        with pytest.raises(Exception):
+            read_puzzles(spark, str(tmp_path / name)).collect()
+
+
+def test_written_puzzles_are_read_by_default(spark, tmp_path):
+    from anagrove.sinks.export import write_puzzles
+    from anagrove.sources.puzzles import PUZZLE_SCHEMA, read_puzzles
+
+    rows = [(f"2024-01-0{d}", "a", ["b"], ["abba"]) for d in (1, 2)]
+    write_puzzles(spark.createDataFrame(rows, PUZZLE_SCHEMA), str(tmp_path / "p"))
+    stored = read_puzzles(spark, str(tmp_path / "p"))
+    assert stored.count() == 2
+    one = source.puzzles_of_date(stored, dt.date(2024, 1, 2))
+    assert one.count() == 1
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "date" in plan.split("PartitionFilters: [")[1].split("]")[0]

@@ -1,4 +1,6 @@
 import datetime as dt
+import json
+import os
 
 import pytest
 
@@ -89,3 +91,32 @@ def test_backfill_replaces_a_year(spark, house):
     counts = {r.month: r.n for r in backfill_year(fewer, listed, house, 2024).collect()}
     assert counts[1] == 2 and counts[3] == 0
     assert spark.table(f"{house}.word_decisions").filter("year = 2023").count() == 2
+
+
+def test_a_new_word_is_accepted_then_rejected(spark, house):
+    source = scratch_path(spark, "in")
+    fresh = spark.createDataFrame([("gagg",)], "word string")
+    known = spark.table(f"{house}.words").unionByName(
+        eligible_words(fresh).withColumn("version", F.lit(2)), allowMissingColumns=True
+    )
+    spark.sql(f"CREATE TABLE {house}.more AS SELECT * FROM {house}.words WHERE false")
+    known.select(spark.table(f"{house}.words").columns).write.insertInto(f"{house}.more")
+    spark.sql(f"ALTER TABLE {house}.words RENAME TO {house}.older")
+    spark.sql(f"ALTER TABLE {house}.more RENAME TO {house}.words")
+    write(spark, source, "2024-01-05", ["gagg"])
+    write(spark, source, "2024-01-06", ["abba"])
+    ingest_puzzles(spark, source, house, scratch_path(spark, "cp"), multi_line=False).awaitTermination()
+    assert states(spark, house)["gagg"] == (0.0, dt.date(2024, 1, 6))
+    decided = {r.puzzle_date.day: r.accepted for r in spark.table(f"{house}.word_decisions").filter("word = 'gagg'").collect()}
+    assert decided == {5: 1.0, 6: 0.0}
+
+
+@pytest.mark.parametrize("max_files", [None, 1])
+def test_the_newest_document_of_a_day_holds(spark, house, tmp_path, max_files):
+    for i, (name, answers) in enumerate([("a", ["abba"]), ("b", ["fade"]), ("b.latest", ["zulu"])]):
+        path = tmp_path / f"{name}.json"
+        path.write_text(json.dumps(dict(printDate="2024-01-05", centerLetter="a", outerLetters=list("bcdefg"), answers=answers)))
+        os.utime(path, (1_700_000_000 + 10 * i,) * 2)
+    ingest_puzzles(spark, str(tmp_path), house, scratch_path(spark, "cp"), max_files=max_files).awaitTermination()
+    decided = spark.table(f"{house}.word_decisions").collect()
+    assert {r.word: r.accepted for r in decided} == {"abba": 0.0, "fade": 1.0}

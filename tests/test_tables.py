@@ -24,7 +24,7 @@ def seeded(spark, db):
     first = spark.createDataFrame(
         [("a", 2024, 1, 1), ("b", 2024, 1, 2), ("c", 2024, 2, 1), ("d", 2023, 1, 1)], SCHEMA
     )
-    tables.replace_where(first, "t", db, {"year": 2024}, PARTS)
+    tables.replace_keys(first, "t", db, ["year"], PARTS)
     return f"{db}.t"
 
 
@@ -72,7 +72,7 @@ def test_rows_outside_the_range_stop_the_job(spark, db):
 
 def test_text_values_and_unpartitioned_tables(spark, db):
     schema = "v string, batch string"
-    tables.replace_where(spark.createDataFrame([("a", "it's"), ("b", "other")], schema), "t", db, {"batch": "it's"})
+    tables.create_table(spark.createDataFrame([("a", "it's"), ("b", "other")], schema), "t", db)
     tables.replace_where(spark.createDataFrame([("c", "it's")], schema), "t", db, {"batch": "it's"})
     assert sorted(r.v for r in spark.table(f"{db}.t").collect()) == ["b", "c"]
 
@@ -113,3 +113,19 @@ def test_older_snapshots_are_refused(spark):
     with pytest.raises(ValueError, match="before the latest"):
         export.require_not_older(snapshots, "2024-01-01")
     export.require_not_older(snapshots.filter(F.lit(False)), "2020-01-01")
+
+
+def test_the_first_write_is_checked_too(spark, db):
+    rows = spark.createDataFrame([("x", 2024, 2, 1)], SCHEMA)
+    with pytest.raises(Exception, match="outside the replaced range"):
+        tables.replace_where(rows, "t", db, {"month": 1}, PARTS)
+
+
+def test_replace_keys_reads_only_the_months_of_new_rows(spark, db):
+    name = seeded(spark, db)
+    fresh = spark.createDataFrame([("y", 2024, 1, 2)], SCHEMA)
+    tables.replace_keys(fresh, "t", db, ["year", "month", "day"], PARTS, keys_fix_partition=True)
+    assert rows_of(spark, name) == [("a", 2024, 1, 1), ("c", 2024, 2, 1), ("d", 2023, 1, 1), ("y", 2024, 1, 2)]
+    pruned = tables.rows_of_partitions(spark.table(name), fresh, PARTS)
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "2024" in plan.split("PartitionFilters: [")[1].split("]")[0]
