@@ -66,9 +66,10 @@ def puzzles_of_month(puzzles: DataFrame, year: int, month: int) -> DataFrame:
 
 def puzzles_of_date(puzzles: DataFrame, date: dt.date) -> DataFrame:
     """Prunes to the date's folder, or to files named for the date."""
-    named = F.col("date") == F.lit(date)
-    unnamed = F.col("date").isNull() & (F.col("printDate") == date.isoformat())
-    return puzzles_of_month(puzzles, date.year, date.month).filter(named | unnamed)
+    # The first filter concerns folders alone, so it prunes.
+    month = puzzles_of_month(puzzles, date.year, date.month)
+    found = month.filter((F.col("date") == F.lit(date)) | F.col("date").isNull())
+    return found.filter(F.col("printDate") == date.isoformat())
 
 
 def script_body(html: Column, pattern: str) -> Column:
