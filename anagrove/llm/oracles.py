@@ -88,8 +88,21 @@ SELECT e.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, coalesce(root, e.vec
 FROM embeddings e LEFT JOIN roots ON v = e.vec_id LEFT JOIN counts ON a = e.vec_id
 """
 
+OP6 = """
+WITH sized AS (
+    SELECT page_id, sha1(coalesce(html, '')) AS payload_digest, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes
+    FROM pages
+),
+kept AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS keeper FROM sized)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM keeper THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM keeper THEN keeper END AS refers_to
+FROM kept
+"""
+
 ORACLES = {
     "op4_chat": OP4,
     "op5_embedding_dedup": OP5,
+    "op6_warc": OP6,
     "op8_jaccard": OP8,
 }
