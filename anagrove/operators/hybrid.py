@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from anagrove.functions import band, log_frequency
 from anagrove.operators.features import labeled, unlabeled, with_log_frequency
+from anagrove.session import materialise
 
 BANDS = ("low", "mid", "high")
 TWO_CLASSES = {"ml_attr": {"type": "nominal", "name": "label", "vals": ["0.0", "1.0"]}}
@@ -82,7 +83,7 @@ def default_bands(
             inverse_regularization=c,
         ),
         "high": BandSpec(
-            RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed), balanced=True
+            RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, maxMemoryInMB=1024), balanced=True
         ),
     }
 
@@ -253,7 +254,9 @@ def train(
 ) -> WordModel:
     """Fit the SVD and the classifier on training rows only."""
     factors, _ = fit_svd(rows, components)
-    classifier = FrequencyBandClassifier(*edges, bands=bands).fit(reduced_features(rows, factors))
+    # Written once: every band and iteration would project the vectors again.
+    reduced = materialise(reduced_features(rows, factors).select("log_frequency", "label", "features"))
+    classifier = FrequencyBandClassifier(*edges, bands=bands).fit(reduced)
     return WordModel(factors, classifier)
 
 
