@@ -100,9 +100,76 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM kept
 """
 
+OP13 = r"""
+WITH RECURSIVE digests AS (
+    SELECT row_number() OVER () AS rid, doc_id, source,
+        sha256(field_id || field_source || field_lang || field_chars || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+        CASE WHEN doc_id IS NOT NULL AND crc % 2 = 0
+            THEN sha256(field_id || field_source || field_lang || field_chars
+                || coalesce(strlen(replace(text, chr(10), '')) || ':' || replace(text, chr(10), ''), '-')) END AS tampered
+    FROM (
+        SELECT *,
+            coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') AS field_id,
+            coalesce(strlen(source) || ':' || source, '-') AS field_source,
+            coalesce(strlen(lang) || ':' || lang, '-') AS field_lang,
+            coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS field_chars,
+            xor(list_reduce(
+                list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+                lambda crc, b: list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, o: xor(x >> 1, (x & 1) * 3988292384))
+            ), 4294967295) AS crc
+        FROM documents
+    )
+),
+placed AS MATERIALIZED (
+    SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, rid) - 1 AS pos,
+        count(*) OVER (PARTITION BY source) AS n, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree
+    FROM digests
+),
+lower_levels(tree, lvl, pos, digest, n) AS (
+    SELECT tree, 0, pos, leaf, n FROM placed
+    UNION ALL
+    SELECT tree, lvl + 1, pos // 3, sha256(string_agg(digest, '' ORDER BY pos)), (n + 2) // 3
+    FROM lower_levels WHERE n > 1 GROUP BY tree, lvl, pos // 3, n
+),
+subroots AS MATERIALIZED (SELECT tree, digest AS subroot, lvl AS height, max(tree) OVER () + 1 AS n FROM lower_levels WHERE n = 1),
+upper_levels(tree, lvl, pos, digest, n) AS (
+    SELECT -1, 0, tree, subroot, n FROM subroots
+    UNION ALL
+    SELECT -1, lvl + 1, pos // 3, sha256(string_agg(digest, '' ORDER BY pos)), (n + 2) // 3
+    FROM upper_levels WHERE n > 1 GROUP BY lvl, pos // 3, n
+),
+nodes AS MATERIALIZED (SELECT * FROM lower_levels UNION ALL SELECT * FROM upper_levels),
+flanks AS MATERIALIZED (
+    SELECT a.tree, a.lvl, a.pos,
+        coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l,
+        coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r
+    FROM nodes a JOIN nodes b ON a.tree = b.tree AND a.lvl = b.lvl AND a.pos // 3 = b.pos // 3
+    WHERE a.n > 1 GROUP BY ALL
+),
+path AS MATERIALIZED (
+    SELECT p.rid, f.lvl AS step, f.l, f.r
+    FROM placed p JOIN flanks f ON f.tree = p.tree AND f.pos = p.pos // CAST(3 ** f.lvl AS BIGINT)
+    UNION ALL
+    SELECT p.rid, s.height + f.lvl, f.l, f.r
+    FROM placed p JOIN subroots s ON s.tree = p.tree
+    JOIN flanks f ON f.tree = -1 AND f.pos = p.tree // CAST(3 ** f.lvl AS BIGINT)
+),
+folds(rid, step, digest) AS (
+    SELECT rid, 0, coalesce(tampered, leaf) FROM placed
+    UNION ALL
+    SELECT f.rid, f.step + 1, sha256(p.l || f.digest || p.r) FROM folds f JOIN path p ON p.rid = f.rid AND p.step = f.step
+),
+proofs AS (SELECT rid, sha256(string_agg(l || r, '' ORDER BY step)) AS proof FROM path GROUP BY rid),
+root AS (SELECT digest AS root FROM upper_levels WHERE n = 1)
+SELECT doc_id, leaf, subroot, root, coalesce(proof, sha256('')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM placed JOIN subroots USING (tree) CROSS JOIN root LEFT JOIN proofs USING (rid)
+JOIN (SELECT rid, arg_max(digest, step) AS folded_root FROM folds GROUP BY rid) USING (rid)
+"""
+
 ORACLES = {
     "op4_chat": OP4,
     "op5_embedding_dedup": OP5,
     "op6_warc": OP6,
     "op8_jaccard": OP8,
+    "op13_merkle": OP13,
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anagrove.llm import ann, bpe, chat, embedding_dedup, jaccard, language, packing, sharding, toxicity, warc
+from anagrove.llm import ann, bpe, chat, embedding_dedup, jaccard, language, merkle, packing, sharding, toxicity, warc
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -92,6 +92,26 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out, "lang_pred", "score")
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest of all documents; those with an even checksum of their id lose line ends afterwards."""
+    documents = _table(spark, sf_dir, "documents")
+    digest = lambda text: merkle.leaf_digest(*map(F.col, ("doc_id", "source", "lang", "n_chars")), text)
+    altered = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0) & F.contains("text", F.lit("\n"))
+    without = F.replace(F.col("text"), F.lit("\n"), F.lit(""))
+    leaves = documents.select("doc_id", "source", digest(F.col("text")).alias("leaf"), F.when(altered, digest(without)).alias("tampered"))
+    proofs = merkle.prove(leaves, carry=("tampered",))
+    folded = proofs.withColumn("folded_root", merkle.fold(F.coalesce("tampered", "leaf"), F.col("path")))
+    return folded.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES = {
     "op1_pack": op1_pack,
     "op2_nearest": op2_nearest,
@@ -103,4 +123,5 @@ QUERIES = {
     "op8_jaccard": op8_jaccard,
     "op9_toxicity": op9_toxicity,
     "op10_language": op10_language,
+    "op13_merkle": op13_merkle,
 }
