@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anagrove.llm import ann, bpe, chat, embedding_dedup, jaccard, language, merkle, packing, sharding, toxicity, warc, whitening
+from anagrove.llm import ann, bpe, chat, embedding_dedup, jaccard, language, merkle, packing, quality, sharding, toxicity, warc, whitening
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -92,6 +92,13 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out, "lang_pred", "score")
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned outside the held-out fold."""
+    documents = _table(spark, sf_dir, "documents")
+    scored = quality.score(documents, quality.fit(documents, _table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", quality.is_held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op12_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sixteen leading whitened components of every vector."""
     return whitening.whiten(_table(spark, sf_dir, "embeddings"))
@@ -128,6 +135,7 @@ QUERIES = {
     "op8_jaccard": op8_jaccard,
     "op9_toxicity": op9_toxicity,
     "op10_language": op10_language,
+    "op11_quality": op11_quality,
     "op12_whiten": op12_whiten,
     "op13_merkle": op13_merkle,
 }
