@@ -6,11 +6,13 @@ frequencies of character n-grams of one to three characters within words, word
 ends included, hashed to ``BUCKETS``. As these add up over words, a text's margins
 are sums of its words' margins, which are cached.
 
-The model is fitted on at most ``TRAINING_ROWS`` rows per language, those with the
-smallest hashed ids, and ``MAX_TRAINING_ROWS`` in all. A language without a family in ``FAMILIES`` is one of its own.
+The model is fitted on at most ``TRAINING_ROWS`` ids per language, those with the
+smallest hashes, and ``MAX_TRAINING_ROWS`` in all. A language without a family in
+``FAMILIES`` is one of its own.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0; rows
-without a language don't train; with one language learned, all texts with letters
+without a language or an id don't train, of texts that share both one does; a row
+without an id isn't held out; with one language learned, all texts with letters
 are of it; with none, all are ``und``; repeated rows are judged alike; other
 columns are never looked at; an empty table gives no rows.
 """
@@ -25,10 +27,13 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import regex
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from anagrove.llm.sampling import first_by_hash, one_text_each
+
 # Families of languages by code: fixed values.
 FAMILIES = {
     "da": "germanic", "de": "germanic", "en": "germanic", "nl": "germanic", "no": "germanic", "sv": "germanic",
@@ -42,11 +47,16 @@ UNKNOWN = "und"
 FOLDS, HELD_OUT = 4, 2
 MAX_CACHED = 300_000
 
-_LETTERS = re.compile(r"[^\W\d_]+")
+# Letters and numerals that aren't digits; the latter are rare and sorted out by the slower pattern.
+_NEARLY_LETTERS = re.compile(r"[^\W\d_]+")
+_LETTERS = regex.compile(r"\p{L}+")
 
 
 def words_of(text: str) -> list[str]:
-    return _LETTERS.findall(text.lower())
+    """Runs of letters in lower case."""
+    lower = text.lower()
+    words = _NEARLY_LETTERS.findall(lower)
+    return words if "".join(words).isalpha() else _LETTERS.findall(lower)
 
 
 def grams_of(word: str) -> list[str]:
@@ -63,15 +73,15 @@ def fit_svm(x: np.ndarray, positive: np.ndarray) -> np.ndarray:
 
     Accelerated gradient descent; both classes weigh the same.
     """
-    x = np.hstack([x, np.ones((len(x), 1))])
     y = np.where(positive, 1.0, -1.0)
     each = np.where(positive, 0.5 / positive.sum(), 0.5 / (~positive).sum())
-    norm = np.linalg.norm(np.sqrt(each)[:, None] * x, 2) if len(x) < 64 else np.sqrt((each * (x**2).sum(axis=1)).sum())
-    rate = 1 / (2 * norm**2 + PENALTY)
-    w = v = np.zeros(x.shape[1])
+    # The mean squared length of the rows bounds the curvature.
+    rate = 1 / (2 * (each @ (np.einsum("ij,ij->i", x, x, dtype=np.float64) + 1)) + PENALTY)
+    w = v = np.zeros(x.shape[1] + 1)
     for step in range(1, STEPS + 1):
-        slack = np.maximum(0, 1 - y * (x @ v))
-        gradient = -2 * x.T @ (each * y * slack) + PENALTY * v
+        slack = np.maximum(0, 1 - y * (x @ v[:-1].astype(x.dtype) + v[-1]))
+        pull = each * y * slack
+        gradient = -2 * np.append(pull.astype(x.dtype) @ x, pull.sum()) + PENALTY * v
         last, w = w, v - rate * gradient
         v = w + (step - 1) / (step + 2) * (w - last)
     return w
@@ -110,40 +120,42 @@ class LanguageModel:
 
 
 def is_held_out(number: Column) -> Column:
-    return F.crc32(number.cast("string").cast("binary")) % FOLDS == HELD_OUT
+    return F.coalesce(F.crc32(number.cast("string").cast("binary")) % FOLDS == HELD_OUT, F.lit(False))
 
 
 def fit(docs: DataFrame, rows: int = TRAINING_ROWS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
     """Fit on a bounded sample of the rows outside the held-out fold."""
     known = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    known = known.filter(F.col("lang").isNotNull() & ~F.coalesce(is_held_out(F.col("id")), F.lit(False)))
-    known = known.filter(F.col("text").rlike(r"\p{L}"))
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    ranked = known.select("id", "lang").withColumn("r", F.row_number().over(by_hash)).filter(F.col("r") <= rows)
-    chosen = ranked.orderBy("r", F.xxhash64("id"), "lang").limit(MAX_TRAINING_ROWS).select("id", "lang")
-    sample = known.join(F.broadcast(chosen), ["id", "lang"]).select("lang", "text")
+    known = known.filter(F.col("lang").isNotNull() & ~is_held_out(F.col("id")))
+    known = known.filter(F.col("id").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    chosen = first_by_hash(known, "lang", rows).orderBy("place", F.xxhash64("id"), "lang").limit(MAX_TRAINING_ROWS)
+    sample = one_text_each(known, chosen.select("id", "lang"), ["id", "lang"]).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
+            buckets, shares = [], []
             for text in batch.column(1):
                 found = np.bincount([bucket_of(g) for w in words_of(text.as_py()) for g in grams_of(w)], minlength=BUCKETS)
-                out.append((found / max(1, found.sum())).astype(np.float32))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.float32()))], names=["lang", "x"])
+                held = np.flatnonzero(found)
+                buckets.append(held.astype(np.int16))
+                shares.append((found[held] / max(1, found.sum())).astype(np.float32))
+            lists = [pa.array(buckets, pa.list_(pa.int16())), pa.array(shares, pa.list_(pa.float32()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *lists], names=["lang", "b", "x"])
 
-    taken = sample.mapInArrow(count, "lang string, x array<float>").toArrow()
+    taken = sample.mapInArrow(count, "lang string, b array<short>, x array<float>").toArrow()
     if not taken.num_rows:
         return LanguageModel([], [], np.zeros((BUCKETS, 0)), np.zeros(0))
     lang = np.array(taken.column("lang").to_pylist())
-    x = taken.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(lang), BUCKETS)
-    del taken
-    order = np.lexsort((*x.T[:8], lang))
-    lang, x = lang[order], x[order].astype(np.float64)
+    buckets, shares = (taken.column(c).combine_chunks() for c in ("b", "x"))
+    # Rows of single precision, BUCKETS wide: at most 66 MB.
+    x = np.zeros((len(lang), BUCKETS), dtype=np.float32)
+    x[np.repeat(np.arange(len(lang)), np.diff(buckets.offsets.to_numpy())), buckets.flatten().to_numpy()] = shares.flatten().to_numpy()
+    del taken, buckets, shares
     # Linear in frequencies, so that margins add up over words; scaled to even out common n-grams.
-    scale = 1 / np.sqrt(np.maximum(x.mean(axis=0), 1e-6))
-    x *= scale
-    size = np.sqrt((x**2).sum(axis=1).mean())
-    x /= size
+    scale = 1 / np.sqrt(np.maximum(x.mean(axis=0, dtype=np.float64), 1e-6))
+    x *= scale.astype(np.float32)
+    size = np.sqrt(np.einsum("ij,ij->", x, x, dtype=np.float64) / len(x))
+    x /= np.float32(size)
     scale = scale / size
     languages = sorted(set(lang.tolist()))
     groups: dict[str, list[str]] = {}

@@ -227,7 +227,7 @@ def fit(
         model = initial()
         model.constant = float(next(iter(size), 0.5))
         return model
-    sample = one_text_each(texts, first_by_hash(labelled, "y", rows), ["id"]).select("id", "y", F.col("text").cast("binary"))
+    sample = one_text_each(texts, first_by_hash(labelled, "y", rows).drop("place"), ["id"]).select("id", "y", F.col("text").cast("binary"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

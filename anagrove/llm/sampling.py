@@ -1,9 +1,9 @@
 """Bounded samples of labelled texts for fits on the driver.
 
 The bound is on ids and on texts per id, whatever share of the rows one id, label
-or text has: ids are taken by hash within each of ``SPREAD`` slices of a label
-before a label's own are compared, and of an id's texts one is kept while the rows
-are still on the map side.
+or text has: only ids whose hash lies in the share of all hashes that holds about
+twice the wanted number are compared, and of an id's texts one is kept while the
+rows are still on the map side.
 """
 
 from __future__ import annotations
@@ -11,16 +11,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SPREAD = 64
+from anagrove.session import materialise
+
+HASHES = 2.0**64
 
 
 def first_by_hash(known: DataFrame, label: str, rows: int) -> DataFrame:
-    """``id`` and label of at most ``rows`` ids per label, those with the smallest hashes."""
-    hashed = known.select("id", label, F.xxhash64(F.col("id")).alias("_h")).withColumn("_s", F.pmod("_h", F.lit(SPREAD)))
-    within = Window.partitionBy(label, "_s").orderBy("_h", "id")
-    sliced = hashed.distinct().withColumn("_r", F.row_number().over(within)).filter(F.col("_r") <= rows)
+    """``id``, label and place of at most ``rows`` ids per label, those with the smallest hashes."""
+    ids = materialise(known.select("id", label).distinct().withColumn("_h", F.xxhash64(F.col("id"))))
+    size = ids.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
+    low = F.col("_h") / HASHES + 0.5 <= (2 * rows + 64) / F.col("_n")
     overall = Window.partitionBy(label).orderBy("_h", "id")
-    return sliced.withColumn("_r", F.row_number().over(overall)).filter(F.col("_r") <= rows).select("id", label)
+    ranked = ids.join(size, label).filter(low).withColumn("place", F.row_number().over(overall))
+    return ranked.filter(F.col("place") <= rows).select("id", label, "place")
 
 
 def one_text_each(texts: DataFrame, chosen: DataFrame, keys: list[str]) -> DataFrame:
