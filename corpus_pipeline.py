@@ -1,10 +1,11 @@
 """The corpus pipeline: toxicity, language, near copies, packing.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept.
-Filtering stages keep the columns of ``documents``. Classifiers judge each row with
-its text, so rows that lack or share an id are judged too; near copies are joined
-back by ``doc_id``, and rows without one are kept there. Rows that repeat the id and
-text of the document that stays, stay with it. Stages of classifiers have no SQL twin, so the pipeline has none.
+Filtering stages keep the columns of ``documents``. Each row is judged with its own
+text, so rows that lack or share an id are judged too: near copies are told apart and
+joined back by id and digest of the text. Rows that repeat the id and text of the
+document that stays, stay with it. Stages of classifiers have no SQL twin, so the
+pipeline has none.
 """
 
 from __future__ import annotations
@@ -39,9 +40,12 @@ def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id."""
-    copies = jaccard.similarity_join(docs).filter("not kept").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(docs.columns)
+    """One document of each group of near copies: the one with the smallest id, then digest of the text."""
+    digest = F.xxhash64("text").alias("_digest")
+    own = docs.select(F.struct("doc_id", digest).alias("own"), "text")
+    copies = jaccard.similarity_join(own, id_col="own").filter("not kept").select(F.col("own.doc_id").alias("_id"), "own._digest").distinct()
+    same = docs["doc_id"].eqNullSafe(copies["_id"]) & (F.xxhash64(docs["text"]) == copies["_digest"])
+    return docs.join(copies, same, "left_anti")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
