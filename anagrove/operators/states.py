@@ -75,7 +75,7 @@ def enrich_new_words(source: DataFrame, target: DataFrame, words: DataFrame) ->
     return source.join(data, "word", "left")
 
 
-def _once_per_word(source: DataFrame) -> DataFrame:
+def once_per_word(source: DataFrame) -> DataFrame:
     """Stop the job when two source rows would update the same word.
 
     The window shares the join's distribution and sort, so it adds no shuffle.
@@ -98,7 +98,7 @@ def merge_states(target: DataFrame, source: DataFrame, batch_id: str) -> DataFra
     old = target.select(
         "word", *[F.col(c).alias(f"_t_{c}") for c in STATE_COLUMNS if c != "word"], F.lit(True).alias("_t")
     )
-    new = _once_per_word(source).select(
+    new = once_per_word(source).select(
         "word", *[F.col(c).alias(f"_s_{c}") for c in STATE_COLUMNS if c != "word"], F.lit(True).alias("_s")
     )
     both = old.join(new, "word", "full_outer")
