@@ -519,3 +519,13 @@ ORACLES: dict[str, str] = {
     ),
 }
 ORACLES["publish_exports"] = f"SELECT json, true AS refused FROM ({ORACLES['export_json_lines']})"
+ORACLES["merge_states_rewrite"] = ORACLES["merge_states"]
+ORACLES["replace_where_atomic"] = ORACLES["replace_where"]
+ORACLES["svd_truncated"] = """
+SELECT k, n, squares, k = d AS lossless
+FROM (
+    SELECT count(*) AS n, max(len(embedding)) AS d,
+        round(sum(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))), 2) AS squares
+    FROM embeddings
+), LATERAL (SELECT unnest([8, 50, d]) AS k)
+"""

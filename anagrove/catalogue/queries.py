@@ -14,13 +14,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from anagrove.operators import enrich, features, hybrid, matching, metrics, ranking, serving
+from anagrove.operators import enrich, features, hybrid, lowrank, matching, metrics, ranking, serving
 from anagrove.operators import states as word_states
 from anagrove.operators import thresholds
+from anagrove.operators.state_log import StateLog
 from anagrove.plans import derived, lifecycle
 from anagrove.plans.derived import Warehouse
 from anagrove.session import materialise, scratch_name, scratch_path
 from anagrove.sinks import export, tables
+from anagrove.sinks.versioned import VersionedTable
 from anagrove.sources import puzzles as puzzle_source
 from anagrove.sources import wordlists
 from anagrove.streaming.ingest import ingest_puzzles
@@ -157,6 +159,17 @@ def replace_where(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _decision_text(spark.table(f"{db}.word_decisions"))
 
 
+@query
+def replace_where_atomic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same day replaced in a versioned table, the old version still readable; its decisions."""
+    rows = matching.with_decision_dates(Warehouse(spark, sf_dir).decisions)
+    table = VersionedTable(spark, scratch_path(spark, "decisions"), lifecycle.DECISION_PARTITIONS)
+    table.replace_keys(rows, ["puzzle_date"], keys_fix_partition=True)
+    of_month = table.read(where=lambda own: (own["year"], own["month"]) == (2018, 2))
+    table.replace_where(of_month.filter("day = 14 AND accepted = 1"), {"year": 2018, "month": 2, "day": 14})
+    return _decision_text(table.read())
+
+
 def _decision_text(rows: DataFrame) -> DataFrame:
     return rows.select("word", "center_letter", "outer_letters", _day("puzzle_date"), _double("accepted"))
 
@@ -432,7 +445,29 @@ def enrich_new_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def merge_states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First half of the puzzles, then all, then the first half again as late data."""
+    """First half of the puzzles, then all, then the first half again as late data, in a log of changes."""
+    states, merges, data = _three_merges(spark, sf_dir)
+    log = StateLog.create(spark, scratch_path(spark, "states"), states)
+    for part, batch in merges:
+        update = word_states.decisions_as_updates(part, batch)
+        log.merge(word_states.enrich_new_words(update, log.read(fixed=[]), data), batch)
+        log.compact()
+    return _state_text(log.read())
+
+
+@query
+def merge_states_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same merges, each as a new snapshot of all states."""
+    states, merges, data = _three_merges(spark, sf_dir)
+    for part, batch in merges:
+        update = word_states.decisions_as_updates(part, batch)
+        update = word_states.enrich_new_words(update, states, data)
+        states = materialise(word_states.merge_states(states, update, batch))
+    return _state_text(states)
+
+
+def _three_merges(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[tuple[DataFrame, str]], DataFrame]:
+    """States before any puzzle, the merges' decisions with their batch ids, and data of all words."""
     house = Warehouse(spark, sf_dir)
     rows = materialise(house.decisions)
     dates = rows.agg(F.min("puzzle_date").alias("a"), F.max("puzzle_date").alias("b"))
@@ -440,11 +475,7 @@ def merge_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     early = rows.filter(F.col("puzzle_date") <= middle)
     data = house.joined_words
     states = word_states.init_states(data.filter(F.col("version") == 1), derived.FIRST_BATCH)
-    for part, batch in [(early, "early"), (rows, "all"), (early, "late")]:
-        update = word_states.decisions_as_updates(part, batch)
-        update = word_states.enrich_new_words(update, states, data)
-        states = materialise(word_states.merge_states(states, update, batch))
-    return _state_text(states)
+    return states, [(early, "early"), (rows, "all"), (early, "late")], data
 
 
 # --- features, training, scoring -------------------------------------------
@@ -498,6 +529,26 @@ def svd_project(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("vec_id", F.round(F.sqrt(squares), 4).alias("length"))
 
 
+@query
+def svd_truncated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Squares that a projection to 8, 50 and all components keeps, with those it loses row by row.
+
+    Kept squares come from the singular values, lost ones from the vectors: only
+    for orthonormal directions with their own values both add up to all squares.
+    """
+    vectors = materialise(derived.table(spark, sf_dir, "embeddings").select(F.col("embedding").cast("array<double>").alias("v")))
+    width = vectors.select(F.max(F.size("v"))).first()[0]
+    out = None
+    for k in (8, 50, width):
+        factors, values = lowrank.randomised_svd(vectors, k, "v")
+        lost = F.sum(lowrank.lost_squares(F.col("v"), factors))
+        kept = float((values**2).sum())
+        one = vectors.agg(F.count(F.lit(1)).alias("n"), F.round(lost + kept, 2).alias("squares"), (lost < 1e-6).alias("lossless"))
+        one = one.select(F.lit(k).cast("bigint").alias("k"), "n", "squares", "lossless")
+        out = one if out is None else out.union(one)
+    return out
+
+
 def _priced_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items: log quantity-times-price against whether they were returned."""
     lines = derived.table(spark, sf_dir, "lineitem")
@@ -754,13 +805,13 @@ def solve_puzzle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stream all puzzle documents into decisions and states; returns the states."""
-    db = _new_db(spark)
+    """Stream all puzzle documents into versioned decisions and a state log; returns the states."""
+    db, store = _new_db(spark), scratch_path(spark, "store")
     house = Warehouse(spark, sf_dir)
     source = scratch_path(spark, "puzzles")
-    export.write_puzzles(derived.puzzle_documents(house.answers), source)
+    export.write_puzzles(derived.puzzle_documents(house.answers), source, by_month=True)
     tables.create_table(house.joined_words, "words", db)
-    tables.publish_snapshot(house.states_before, "word_states", db, buckets=8)
-    stream = ingest_puzzles(spark, source, db, scratch_path(spark, "stream"), multi_line=False, buckets=8)
+    log = StateLog.create(spark, f"{store}/word_states", house.states_before)
+    stream = ingest_puzzles(spark, source, db, scratch_path(spark, "stream"), multi_line=False, store=store)
     stream.awaitTermination()
-    return _state_text(spark.table(f"{db}.word_states"))
+    return _state_text(log.read())

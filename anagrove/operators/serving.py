@@ -38,7 +38,12 @@ def export_rows(groups: DataFrame) -> DataFrame:
 
 
 def solve_puzzles(puzzles: DataFrame, words: DataFrame, slices: int = 1) -> DataFrame:
-    """Words of each puzzle, most probable first."""
+    """Words of each puzzle, most probable first.
+
+    A puzzle's words stand together and in order; puzzles are dealt by their hash,
+    so no range of dates has to be found before the rows move.
+    """
     payload = words.select("word", "letter_set", "probability", "source")
     found = matching_words(puzzles.select(*PUZZLE_KEY), payload, distinct=True, slices=slices)
-    return found.orderBy("puzzle_date", F.col("probability").desc(), "word")
+    dealt = found.repartition(*PUZZLE_KEY)
+    return dealt.sortWithinPartitions(*PUZZLE_KEY, F.col("probability").desc(), "word")

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from anagrove.operators.states import STATE_COLUMNS, once_per_word
 from anagrove.sinks.versioned import Manifest, VersionedTable
@@ -56,6 +57,7 @@ class StateLog:
         base = self.table.manifest()
         seq = base.notes["seq"] + 1
         rows = self._placed(once_per_word(source), "log", seq, base.notes["buckets"])
+        rows = rows.select(*[F.col(f.name).cast(f.dataType) for f in StructType.fromJson(base.schema)])
         notes = {"seq": seq, "commits": [*base.notes["commits"], [seq, batch_id]]}
         self.table.commit(base, [self.table.write(rows)], notes=notes, alone=True)
         return seq

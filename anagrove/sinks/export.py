@@ -24,23 +24,27 @@ def write_export(groups: DataFrame, path: str) -> None:
     lines.select(F.col("json").alias("value")).write.mode("errorifexists").text(path)
 
 
-def write_puzzles(documents: DataFrame, path: str) -> None:
+def write_puzzles(documents: DataFrame, path: str, by_month: bool = False) -> None:
     """Write puzzle documents below ``year=YYYY/month=MM/date=YYYY-MM-DD``.
 
     A date that exists is replaced, all other dates stay. The rebalance hint
-    gathers each date in few files and still splits a date that grew large.
+    gathers each date in few files and still splits a date that grew large. With
+    ``by_month`` a month's documents share files, one per line, and a month is
+    replaced as a whole: for histories, whose days are small.
     """
+    folders = ["year", "month"] if by_month else ["year", "month", "date"]
     date = F.to_date("printDate", "yyyy-MM-dd")
     placed = (
         documents.withColumn("year", F.date_format(date, "yyyy"))
         .withColumn("month", F.date_format(date, "MM"))
         .withColumn("date", F.date_format(date, "yyyy-MM-dd"))
+        .select(*documents.columns, *folders)
     )
     (
-        placed.hint("rebalance", "date")
+        placed.hint("rebalance", *folders)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("year", "month", "date")
+        .partitionBy(*folders)
         .json(path)
     )
 

@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from anagrove.operators.matching import split_documents, with_decision_dates, word_decisions
+from anagrove.operators.state_log import StateLog
+from anagrove.operators.states import decisions_as_updates, enrich_new_words
 from anagrove.plans.lifecycle import DECISION_PARTITIONS, update_states
 from anagrove.session import materialise
 from anagrove.sinks.tables import replace_keys, rows_of_partitions
+from anagrove.sinks.versioned import VersionedTable
 from anagrove.sources.puzzles import puzzle_reader
 
 
@@ -20,6 +23,11 @@ def newest_of_day(documents: DataFrame) -> DataFrame:
     return documents.join(newest, "printDate").filter(origin == F.col("_newest")).drop("_newest")
 
 
+def decisions_in(spark: SparkSession, store: str) -> VersionedTable:
+    """The decisions that a stream with ``store`` keeps."""
+    return VersionedTable(spark, f"{store}/word_decisions", DECISION_PARTITIONS)
+
+
 def ingest_puzzles(
     spark: SparkSession,
     source: str,
@@ -29,6 +37,7 @@ def ingest_puzzles(
     multi_line: bool = True,
     max_files: int | None = None,
     buckets: int | None = None,
+    store: str | None = None,
 ) -> StreamingQuery:
     """Process all puzzle documents not seen before, then stop.
 
@@ -38,12 +47,28 @@ def ingest_puzzles(
     than a late puzzle. ``db.words`` supplies the known words, listed and new. Of
     several documents for a day the newest holds (by modification time, then
     name), whether they come in one micro-batch or in several.
+
+    With ``store`` decisions and states are kept below that folder instead, as a
+    versioned table and a state log (``decisions_in`` and ``StateLog`` read them):
+    a micro-batch's days change at once, and its updates are appended. States have
+    to be there before the stream starts.
     """
     reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     documents = puzzle_reader(reader, source, multi_line)
 
+    def append(batch: DataFrame, epoch: int) -> None:
+        session = batch.sparkSession
+        puzzles, answers = split_documents(newest_of_day(materialise(batch)))
+        words, batch_id = session.table(f"{db}.words"), f"{batch_prefix}_{epoch}"
+        found = materialise(with_decision_dates(word_decisions(puzzles, answers, words)))
+        decisions_in(session, store).replace_keys(found, ["puzzle_date"], keys_fix_partition=True)
+        states = StateLog(session, f"{store}/word_states")
+        updates = decisions_as_updates(found, batch_id)
+        states.merge(enrich_new_words(updates, states.read(fixed=[]), words), batch_id)
+        states.compact()
+
     def process(batch: DataFrame, epoch: int) -> None:
         session = batch.sparkSession
         puzzles, answers = split_documents(newest_of_day(batch))
@@ -57,7 +82,7 @@ def ingest_puzzles(
         update_states(session, db, stored, f"{batch_prefix}_{epoch}", buckets)
 
     return (
-        documents.writeStream.foreachBatch(process)
+        documents.writeStream.foreachBatch(append if store else process)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
