@@ -19,7 +19,8 @@ HASHES = 2.0**64
 def first_by_hash(known: DataFrame, label: str, rows: int) -> DataFrame:
     """``id``, label and place of at most ``rows`` ids per label, those with the smallest hashes."""
     ids = materialise(known.select("id", label).distinct().withColumn("_h", F.xxhash64(F.col("id"))))
-    size = ids.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
+    # Written, so that its size is known and a small one is broadcast before the ids move.
+    size = materialise(ids.groupBy(label).agg(F.count(F.lit(1)).alias("_n")))
     low = F.col("_h") / HASHES + 0.5 <= (2 * rows + 64) / F.col("_n")
     overall = Window.partitionBy(label).orderBy("_h", "id")
     ranked = ids.join(size, label).filter(low).withColumn("place", F.row_number().over(overall))
