@@ -529,3 +529,30 @@ FROM (
     FROM embeddings
 ), LATERAL (SELECT unnest([8, 50, d]) AS k)
 """
+_BANDED_ROWS = f"""
+    routed AS (
+        SELECT log10(frequency + 1) AS x, label::DOUBLE AS label,
+            CASE WHEN log10(frequency + 1) >= 1.59 THEN 'high' WHEN log10(frequency + 1) <= 0.85 THEN 'low' ELSE 'mid' END AS band
+        FROM states WHERE {_TRAINABLE})"""
+ORACLES["banded_naive_bayes"] = _with(
+    _STATES,
+    f""", {_BANDED_ROWS},
+    stats AS (SELECT band, label AS class, count(*) AS k, avg(x) AS m, var_pop(x) AS v FROM routed GROUP BY ALL),
+    fits AS (
+        SELECT r.x, r.label, s.class, count(*) OVER (PARTITION BY r.band, r.x, r.label) AS classes,
+            ln(s.k) - 0.5 * ln(2 * pi() * s.v) - (r.x - s.m) * (r.x - s.m) / (2 * s.v) AS fit, r.n
+        FROM (SELECT band, x, label, count(*) AS n FROM routed GROUP BY ALL) r JOIN stats s USING (band)),
+    chances AS (
+        SELECT x, label, n, CASE WHEN max(classes) = 1 THEN max(class)
+            ELSE 1 / (1 + exp(max(fit) FILTER (class = 0) - max(fit) FILTER (class = 1))) END AS p
+        FROM fits GROUP BY ALL)
+    SELECT round(x, 6) AS log_frequency, label, n, (p > 0.5)::INTEGER::DOUBLE AS prediction, round(p, 6) AS probability
+    FROM chances""",
+)
+ORACLES["banded_logistic"] = _with(
+    _STATES,
+    f""", {_BANDED_ROWS},
+    weighed AS (
+        SELECT label, sum(1) OVER () / (2.0 * sum(1) OVER (PARTITION BY label)) AS w FROM routed)
+    SELECT count(*) AS n, round(sum(w * label) / count(*), 5) AS weighted_chance, 0.0::DOUBLE AS slope FROM weighed""",
+)

@@ -10,6 +10,7 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.ml.classification import NaiveBayes
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -621,6 +622,45 @@ def _is_chance(column: str) -> Column:
     return F.coalesce(F.col(column).between(0, 1), F.lit(False))
 
 
+LOW_EDGE, HIGH_EDGE = 0.85, 1.59
+
+
+def _frequency_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training rows with the log frequency as their only feature."""
+    rows = hybrid.training_rows(Warehouse(spark, sf_dir).states)
+    return materialise(rows.select("label", "log_frequency", array_to_vector(F.array("log_frequency")).alias("features")))
+
+
+@query
+def banded_naive_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Routing, fit and prediction by value: naive Bayes in every band, one chance per frequency and label."""
+    rows = _frequency_rows(spark, sf_dir)
+    bands = {name: hybrid.BandSpec(NaiveBayes(modelType="gaussian")) for name in hybrid.BANDS}
+    scored = hybrid.FrequencyBandClassifier(LOW_EDGE, HIGH_EDGE, bands).fit(rows).transform(rows)
+    each = scored.groupBy(F.round("log_frequency", 6).alias("log_frequency"), _double("label"))
+    return each.agg(
+        F.count(F.lit(1)).alias("n"), F.max("prediction").alias("prediction"), F.round(F.max("probability"), 6).alias("probability")
+    )
+
+
+@query
+def banded_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Balanced logistic regression at its optimum: weighted chances add up as labels do, the slope of the objective is 0."""
+    rows = _frequency_rows(spark, sf_dir)
+    spec = hybrid.default_bands()["mid"]
+    model = hybrid.FrequencyBandClassifier(-1.0, 1e9, {"mid": spec}).fit(rows)
+    beta, total = float(model.models["mid"].coefficients[0]), rows.count()
+    classes = features.class_weights(rows)
+    scored = model.transform(rows).join(classes.select(F.col("label").alias("_class"), "weight"), F.col("label") == F.col("_class"))
+    error = F.col("weight") * (F.col("probability") - F.col("label"))
+    penalty = beta / (spec.inverse_regularization * total)
+    return scored.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.round(F.sum(F.col("weight") * F.col("probability")) / F.count(F.lit(1)), 5).alias("weighted_chance"),
+        F.round(F.abs(F.sum(error * F.col("log_frequency")) / total + penalty), 4).alias("slope"),
+    )
+
+
 @query
 def hybrid_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every training row with its label, and whether its prediction follows from its chance."""
@@ -691,8 +731,6 @@ def gnb_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def gnb_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Naive Bayes on the training frame: confusion of its own rows."""
-    from pyspark.ml.functions import array_to_vector
-
     rows = features.with_log_frequency(_training_frame(spark, sf_dir))
     found = features.features_v1(rows, ["vec_id"])
     found = found.withColumn("features", array_to_vector("features"))
