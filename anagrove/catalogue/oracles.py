@@ -556,3 +556,17 @@ ORACLES["banded_logistic"] = _with(
         SELECT label, sum(1) OVER () / (2.0 * sum(1) OVER (PARTITION BY label)) AS w FROM routed)
     SELECT count(*) AS n, round(sum(w * label) / count(*), 5) AS weighted_chance, 0.0::DOUBLE AS slope FROM weighed""",
 )
+ORACLES["export_object"] = f"""
+SELECT letter_set, part, coalesce(sum(bytes) OVER (ORDER BY letter_set, part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start,
+    bytes, fragment
+FROM (
+    SELECT *, strlen(fragment)::BIGINT AS bytes
+    FROM (
+        SELECT letter_set, part,
+            CASE WHEN part > 0 THEN ',' || substr(json, length(to_json(letter_set)) + 4, length(json) - length(to_json(letter_set)) - 5)
+                WHEN letter_set = min(letter_set) OVER () THEN substr(json, 1, length(json) - 2)
+                ELSE ',' || substr(json, 2, length(json) - 3) END
+            || CASE WHEN part < max(part) OVER (PARTITION BY letter_set) THEN ''
+                WHEN letter_set = max(letter_set) OVER () THEN ']}}' ELSE ']' END AS fragment
+        FROM ({ORACLES['export_json_lines']})))
+"""

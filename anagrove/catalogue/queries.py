@@ -196,6 +196,13 @@ def export_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("letter_set", _long("part"), "json")
 
 
+@query
+def export_object(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fragments of the export as one keyed object, with the byte where each starts."""
+    groups = serving.export_rows(serving.letter_set_groups(Warehouse(spark, sf_dir).probabilities))
+    return export.placed_fragments(groups).select("letter_set", _long("part"), "start", "bytes", "fragment")
+
+
 @query
 def publish_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two exports are published, an older one is refused; the latest is read back."""

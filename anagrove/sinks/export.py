@@ -8,6 +8,9 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from anagrove.operators.ranking import running_totals
+from anagrove.session import materialise
+
 # Compact JSON that writes missing dates as null.
 JSON_OPTIONS = {"ignoreNullFields": "false"}
 
@@ -24,6 +27,44 @@ def write_export(groups: DataFrame, path: str) -> None:
     lines.select(F.col("json").alias("value")).write.mode("errorifexists").text(path)
 
 
+def object_fragments(groups: DataFrame) -> DataFrame:
+    """The export as fragments of one JSON object: ``letter_set``, ``part``, ``fragment``.
+
+    Joined in this order they are the object, with or without line ends between. A
+    fragment brings the brackets and commas that its place calls for: a key's first
+    part opens its array, its last one closes it; parts between go on with a comma.
+    """
+    rows = materialise(groups.select("letter_set", "part", F.to_json("data", JSON_OPTIONS).alias("array")))
+    last_part = rows.groupBy("letter_set").agg(F.max("part").alias("_last"))
+    # One row; where it is empty so are the groups.
+    ends = rows.agg(F.min("letter_set").alias("a"), F.max("letter_set").alias("z"))
+    first, last = ends.select("a").scalar(), ends.select("z").scalar()
+    name = F.to_json(F.array("letter_set"))
+    key = F.concat(F.substring(name, F.lit(2), F.length(name) - 2), F.lit(":["))
+    opening = F.when(F.col("part") > 0, ",").otherwise(F.concat(F.when(F.col("letter_set") == first, "{").otherwise(","), key))
+    closing = F.when(F.col("part") < F.col("_last"), "").otherwise(F.when(F.col("letter_set") == last, "]}").otherwise("]"))
+    elements = F.substring("array", F.lit(2), F.length("array") - 2)
+    return rows.join(last_part, "letter_set").select("letter_set", "part", F.concat(opening, elements, closing).alias("fragment"))
+
+
+def placed_fragments(groups: DataFrame) -> DataFrame:
+    """Fragments with the byte at which each starts in the object, for writers that fill one file in parallel."""
+    size = F.octet_length("fragment").cast("bigint")
+    order = [F.col("letter_set"), F.col("part")]
+    return running_totals(object_fragments(groups), order, {"start": size}).withColumn("bytes", size)
+
+
+def write_export_object(groups: DataFrame, path: str) -> None:
+    """Write the export as one JSON object: its files, joined in the order of their names, are valid JSON.
+
+    Keys are range-partitioned, so files are written in parallel and none holds all.
+    """
+    ordered = object_fragments(groups).orderBy("letter_set", "part").select(F.col("fragment").alias("value"))
+    if ordered.isEmpty():
+        ordered = groups.sparkSession.createDataFrame([("{}",)], "value string")
+    ordered.write.mode("errorifexists").text(path)
+
+
 def write_puzzles(documents: DataFrame, path: str, by_month: bool = False) -> None:
     """Write puzzle documents below ``year=YYYY/month=MM/date=YYYY-MM-DD``.
 
