@@ -27,6 +27,11 @@ from pyspark.sql.types import StructType
 PART = "_part"
 
 
+def _nullable(schema: StructType) -> StructType:
+    """The schema with nulls allowed everywhere, as later writers may bring them."""
+    return StructType.fromDDL(", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema))
+
+
 class Conflict(RuntimeError):
     """Another writer has changed what this commit is based on."""
 
@@ -154,7 +159,7 @@ class VersionedTable:
         Versions that came after ``base`` are kept if they left the removed
         partitions as ``base`` has them; ``alone`` allows none.
         """
-        removed, wanted = set(remove), schema.jsonValue() if schema else base.schema
+        removed, wanted = set(remove), _nullable(schema).jsonValue() if schema else base.schema
         current = base
         while True:
             entries = {p: list(f) for p, f in current.entries.items() if p not in removed}

@@ -14,6 +14,7 @@ from anagrove.session import materialise
 from anagrove.sinks.tables import replace_keys, rows_of_partitions
 from anagrove.sinks.versioned import VersionedTable
 from anagrove.sources.puzzles import puzzle_reader
+from anagrove.streaming.newest import newest_in_stream, state_store
 
 
 def newest_of_day(documents: DataFrame) -> DataFrame:
@@ -38,6 +39,7 @@ def ingest_puzzles(
     max_files: int | None = None,
     buckets: int | None = None,
     store: str | None = None,
+    stateful: bool = False,
 ) -> StreamingQuery:
     """Process all puzzle documents not seen before, then stop.
 
@@ -52,11 +54,16 @@ def ingest_puzzles(
     versioned table and a state log (``decisions_in`` and ``StateLog`` read them):
     a micro-batch's days change at once, and its updates are appended. States have
     to be there before the stream starts.
+
+    ``stateful`` remembers each day's newest document, so one that comes later but
+    was written earlier changes nothing. A checkpoint folder belongs to one setting.
     """
     reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     documents = puzzle_reader(reader, source, multi_line)
+    if stateful:
+        documents = newest_in_stream(documents)
 
     def append(batch: DataFrame, epoch: int) -> None:
         session = batch.sparkSession
@@ -81,9 +88,9 @@ def ingest_puzzles(
         stored = months.join(dates, "puzzle_date", "left_semi")
         update_states(session, db, stored, f"{batch_prefix}_{epoch}", buckets)
 
-    return (
-        documents.writeStream.foreachBatch(append if store else process)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    stream = documents.writeStream.foreachBatch(append if store else process)
+    stream = stream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    if not stateful:
+        return stream.start()
+    with state_store(spark):
+        return stream.outputMode("update").start()
