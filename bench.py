@@ -35,7 +35,9 @@ WHOLE_QUERIES = [
     "error_slices",
     "mean_pool",
     "merge_states",
+    "merge_states_rewrite",
     "replace_where",
+    "replace_where_atomic",
     "incremental_ingest",
 ]
 
