@@ -570,3 +570,4 @@ FROM (
                 WHEN letter_set = max(letter_set) OVER () THEN ']}}' ELSE ']' END AS fragment
         FROM ({ORACLES['export_json_lines']})))
 """
+ORACLES["band_candidates_sketched"] = ORACLES["band_candidates"]

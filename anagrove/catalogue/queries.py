@@ -570,6 +570,13 @@ def band_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("side", _long("i"), F.round("edge", 6).alias("edge"))
 
 
+@query
+def band_candidates_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same edges, narrowed by sketches and counted instead of sorted."""
+    found = thresholds.band_candidates_sketched(_priced_rows(spark, sf_dir))
+    return found.select("side", _long("i"), F.round("edge", 6).alias("edge"))
+
+
 @query
 def threshold_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     grid = thresholds.threshold_grid(_priced_rows(spark, sf_dir))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from anagrove.operators.ranking import quantiles
+from anagrove.operators.sketches import K, exact_quantiles
 from anagrove.session import materialise
 
 # Fixed values of the search.
@@ -34,7 +35,16 @@ def value_counts(df: DataFrame, column: str, label: str) -> DataFrame:
 def band_candidates(df: DataFrame, column: str = "log_frequency") -> DataFrame:
     """Twenty quantiles; the lower ten are low edges, the upper ten high edges."""
     counts = materialise(df.groupBy(column).agg(F.count(F.lit(1)).alias("n")))
-    found = quantiles(counts, column, candidate_fractions())
+    return _sides(quantiles(counts, column, candidate_fractions()))
+
+
+def band_candidates_sketched(df: DataFrame, column: str = "log_frequency", k: int = K) -> DataFrame:
+    """The same edges from sketches and counts: no sort, for columns of mostly distinct values."""
+    found = exact_quantiles(df, column, candidate_fractions(), k)
+    return _sides(df.sparkSession.createDataFrame([(found,)], "quantiles array<double>"))
+
+
+def _sides(found: DataFrame) -> DataFrame:
     half = CANDIDATES // 2
     return found.select(F.posexplode("quantiles").alias("position", "edge")).select(
         F.when(F.col("position") < half, "low").otherwise("high").alias("side"),
