@@ -227,6 +227,18 @@ ORACLES: dict[str, str] = {
         _MATCHES,
         f"SELECT {_DAY.format('puzzle_date')}, center_letter, outer_letters, letter_set, word, n FROM matches",
     ),
+    "match_counts": _with(
+        ["vocab", "words", "numbered"],
+        """SELECT letters, center_letter,
+                  count(*) FILTER (contains(letter_set, center_letter) AND length(letter_set) > 1) AS n_words,
+                  count(*) AS n_within
+           FROM (SELECT array_to_string(list_sort(string_split(letters, '')), '') AS letters,
+                        unnest(string_split(letters, '')) AS center_letter, letter_set
+                 FROM (SELECT letters, array_to_string(list_filter(list_sort(string_split(letters, '')),
+                                  lambda x, i: (m >> (i - 1)) & 1 = 1), '') AS letter_set
+                       FROM numbered, generate_series(1, 127) g(m)) JOIN words USING (letter_set))
+           GROUP BY letters, center_letter""",
+    ),
     "word_decisions": _with(_DECISIONS, f"SELECT {_DECISION_TEXT} FROM decisions"),
     "decision_dates": _with(
         _DECISIONS,

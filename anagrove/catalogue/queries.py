@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from anagrove.operators import enrich, features, hybrid, lowrank, matching, metrics, ranking, serving
 from anagrove.operators import states as word_states
-from anagrove.operators import thresholds
+from anagrove.operators import subset_counts, thresholds
 from anagrove.operators.state_log import StateLog
 from anagrove.plans import derived, lifecycle
 from anagrove.plans.derived import Warehouse
@@ -265,6 +265,14 @@ def matching_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(_day("puzzle_date"), "center_letter", "outer_letters", "letter_set", "word", "n")
 
 
+@query
+def match_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers of every letter of every puzzle as its centre, by subset sums; no match is listed."""
+    house = Warehouse(spark, sf_dir)
+    letters = house.puzzles.select(F.concat("center_letter", "outer_letters").alias("letters"))
+    return subset_counts.center_counts(subset_counts.subset_tables(letters, house.words))
+
+
 @query
 def word_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _decision_text(Warehouse(spark, sf_dir).decisions)

@@ -16,6 +16,7 @@ is None. Ties, infinities and repeated fractions are allowed.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -86,22 +87,31 @@ class Cell:
     before: int
     rows: int
 
-    def holds(self, value: Column) -> Column:
-        inside = F.lit(True)
-        if self.low is not None:
-            inside = inside & (value > self.low)
-        if self.high is not None:
-            inside = inside & (value < self.high)
-        return inside
 
+def _located(value: Column, cuts: list[float], name: Callable[[int, bool], int | None], first: int = 0) -> Column:
+    """Name of the cell before cut i, ``name(i, False)``, or of the cut itself, ``name(i, True)``.
 
-def values_at(df: DataFrame, column: str, ranks: list[int], k: int = K) -> dict[int, float]:
+    A tree of comparisons: a row meets as many as the logarithm of the cuts.
+    """
+    if not cuts:
+        return F.lit(name(first, False)).cast("int")
+    middle = len(cuts) // 2
+    at = F.lit(name(first + middle, True)).cast("int")
+    below = _located(value, cuts[:middle], name, first)
+    above = _located(value, cuts[middle + 1 :], name, first + middle + 1)
+    return F.when(value < cuts[middle], below).when(value == cuts[middle], at).otherwise(above)
+
+
+def values_at(
+    df: DataFrame, column: str, ranks: list[int], k: int = K, size: int | None = None
+) -> dict[int, float]:
     """The exact values at 0-based ``ranks`` of the sorted column; ranks beyond it are left out.
 
-    The driver holds three cuts per rank and as many counts.
+    The driver holds three cuts per rank and as many counts. ``size`` is the number
+    of usable rows, if known.
     """
     values = _usable(df, column)
-    whole = Cell(None, None, 0, values.count())
+    whole = Cell(None, None, 0, values.count() if size is None else size)
     waiting = {rank: whole for rank in ranks if 0 <= rank < whole.rows}
     found: dict[int, float] = {}
     while waiting:
@@ -123,8 +133,11 @@ def _counted(
     """New cuts in the waiting cells; rows between cut i - 1 and i, and rows at cut i."""
     cells = list(dict.fromkeys(waiting.values()))
     value = F.col("_v")
-    number = F.coalesce(*[F.when(cell.holds(value), F.lit(i)) for i, cell in enumerate(cells)])
-    open_rows = values.withColumn("_cell", number).filter(F.col("_cell").isNotNull())
+    ends = sorted({end for cell in cells for end in (cell.low, cell.high) if end is not None})
+    # Cells lie between two neighbouring ends, so the upper end tells a cell.
+    numbers = {len(ends) if cell.high is None else ends.index(cell.high): i for i, cell in enumerate(cells)}
+    number = _located(value, ends, lambda i, at: None if at else numbers.get(i))
+    open_rows = values.select("_v", number.alias("_cell")).filter(F.col("_cell").isNotNull())
     # The fractions must be constants, so every cell has its own expression.
     wanted = F.coalesce(
         *[
@@ -133,18 +146,11 @@ def _counted(
         ]
     )
     pivots = sketches(open_rows, "_v", "_cell", k).select(wanted.alias("q")).collect()
-    ends = {end for cell in cells for end in (cell.low, cell.high) if end is not None}
-    cuts = sorted({v + 0.0 for row in pivots for v in row.q} | ends)
-    below = sum(((F.lit(c) < value).cast("int") for c in cuts), F.lit(0))
-    upto = sum(((F.lit(c) <= value).cast("int") for c in cuts), F.lit(0))
-    counts = (
-        open_rows.select(below.alias("below"), upto.alias("upto"))
-        .groupBy("below", "upto")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .collect()
-    )
-    inside = {row.below: row.n for row in counts if row.below == row.upto}
-    at = {row.below: row.n for row in counts if row.below < row.upto}
+    cuts = sorted({v + 0.0 for row in pivots for v in row.q} | set(ends))
+    place = _located(value, cuts, lambda i, at: 2 * i + at)
+    counts = open_rows.groupBy(place.alias("place")).agg(F.count(F.lit(1)).alias("n")).collect()
+    inside = {row.place // 2: row.n for row in counts if row.place % 2 == 0}
+    at = {row.place // 2: row.n for row in counts if row.place % 2 == 1}
     return cuts, inside, at
 
 
@@ -185,7 +191,7 @@ def exact_quantiles(df: DataFrame, column: str, fractions: list[float], k: int =
         return [None] * len(fractions)
     positions = [q * (size - 1) for q in fractions]
     ends = sorted({end(p) for p in positions for end in (math.floor, math.ceil)})
-    value = values_at(df, column, ends, k)
+    value = values_at(df, column, ends, k, size)
 
     def between(position: float) -> float:
         low, high = value[math.floor(position)], value[math.ceil(position)]

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from anagrove.catalogue.queries import QUERIES
-from anagrove.operators import matching, serving
+from anagrove.operators import matching, serving, subset_counts
 from anagrove.operators import states as word_states
 from anagrove.plans import lifecycle
 from anagrove.plans.derived import Warehouse
@@ -42,6 +42,11 @@ WHOLE_QUERIES = [
 ]
 
 
+def match_counts(house: Warehouse) -> DataFrame:
+    letters = house.puzzles.select(F.concat("center_letter", "outer_letters").alias("letters"))
+    return subset_counts.center_counts(subset_counts.subset_tables(letters, house.words))
+
+
 def session() -> SparkSession:
     scratch = tempfile.mkdtemp(prefix="anagrove-bench-")
     spark = (
@@ -104,6 +109,7 @@ def main() -> None:
         "matching_words_every_center",
         lambda: run(matching.matching_words(all_centers, house.words, distinct=True)),
     )
+    timed("match_counts_every_center", lambda: run(match_counts(house)))
     timed("word_decisions", lambda: run(house.decisions))
     timed("latest_decision", lambda: run(word_states.latest_decisions(house.decisions)))
     house.joined_words
