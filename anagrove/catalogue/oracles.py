@@ -119,6 +119,17 @@ _PARTS = {
                CASE WHEN l_extendedprice >= 50000 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction,
                l_extendedprice AS score
         FROM lineitem""",
+    "gated": """
+        SELECT offer, count(*) AS n_rows, count(*) FILTER (a) AS a, count(*) FILTER (b) AS b,
+               count(*) FILTER (c) AS c, count(*) FILTER (d) AS d, count(*) FILTER (e) AS e,
+               count(*) FILTER (a OR b OR c OR d OR e) AS broken
+        FROM (SELECT letter_set IS NULL AS a, version IS NULL AS b, frequency IS NULL AS c,
+                     embedding IS NULL AS d, embedding IS NOT NULL AND (len(embedding) <> 64
+                         OR len(list_filter(embedding, lambda x: x IS NULL OR isnan(x))) > 0) AS e
+              FROM joined),
+             (VALUES ('all'), ('complete')) o(offer)
+        WHERE offer = 'all' OR NOT (a OR b OR c OR d OR e)
+        GROUP BY offer""",
 }
 
 _MATCHES = ["vocab", "words", "numbered", "puzzles", "puzzle_keys", "matches"]
@@ -334,6 +345,15 @@ ORACLES: dict[str, str] = {
         f"""SELECT word, letter_set, frequency, {_VECTOR} FROM joined
            WHERE letter_set IS NULL OR version IS NULL OR frequency IS NULL OR embedding IS NULL""",
     ),
+    "gated_publish": _with(
+        [*_JOINED, "gated"],
+        """SELECT offer, CASE WHEN broken > 0 THEN 0 WHEN offer = 'all' THEN 1
+                       ELSE 1 + (SELECT (broken = 0)::BIGINT FROM gated WHERE offer = 'all') END AS table_version,
+                  gate, n
+           FROM (SELECT offer, broken, unnest(['rows', 'letter_set_missing', 'version_missing',
+                            'frequency_missing', 'embedding_missing', 'embedding_broken']) AS gate,
+                        unnest([n_rows, a, b, c, d, e]) AS n FROM gated)""",
+    ),
     "count_reconcile": _with(
         _JOINED,
         """SELECT source, n, (SELECT count(DISTINCT c) = 1 FROM (

@@ -22,7 +22,8 @@ from anagrove.operators.state_log import StateLog
 from anagrove.plans import derived, lifecycle
 from anagrove.plans.derived import Warehouse
 from anagrove.session import materialise, scratch_name, scratch_path
-from anagrove.sinks import export, tables
+from anagrove.functions import embedding_is_valid
+from anagrove.sinks import export, gates, tables
 from anagrove.sinks.versioned import VersionedTable
 from anagrove.sources import puzzles as puzzle_source
 from anagrove.sources import wordlists
@@ -420,6 +421,29 @@ def count_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.count_reconcile(frames)
 
 
+@query
+def gated_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All joined words are offered to a table with gates, which refuses them; then the complete ones.
+
+    Rows at fault per gate as the writes counted them, with the table's version afterwards.
+    """
+    joined = Warehouse(spark, sf_dir).joined_words
+    broken = {f"{c}_missing": F.col(c).isNull() for c in enrich.CHECKED_COLUMNS}
+    broken["embedding_broken"] = F.col("embedding").isNotNull() & ~embedding_is_valid(F.col("embedding"), 64)
+    found, complete = [], joined
+    for condition in broken.values():
+        complete = complete.filter(~condition)
+    table = VersionedTable(spark, scratch_path(spark, "gated"), ["version"])
+    for offer, rows in (("all", joined), ("complete", complete)):
+        try:
+            gates.gated_commit(table, rows, broken, F.col("word"))
+            counts = gates.last_counts(table)
+        except gates.GateFailure as failure:
+            counts = failure.counts
+        found += [(offer, table.version(), gate, n) for gate, n in counts.items()]
+    return spark.createDataFrame(found, "offer string, table_version bigint, gate string, n bigint")
+
+
 def _state_text(rows: DataFrame) -> DataFrame:
     return rows.select(
         "word",

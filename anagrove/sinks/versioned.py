@@ -132,10 +132,16 @@ class VersionedTable:
 
     # --- writing ----------------------------------------------------------
 
-    def write(self, df: DataFrame) -> dict[str, list[tuple[str, int]]]:
-        """Write rows without a commit: their folders per partition, as the file system lists them."""
+    def write(
+        self, df: DataFrame, watch: Callable[[DataFrame], DataFrame] | None = None
+    ) -> dict[str, list[tuple[str, int]]]:
+        """Write rows without a commit: their folders per partition, as the file system lists them.
+
+        ``watch`` may add an observation to what goes into the writer.
+        """
         folder = f"data/{uuid.uuid4().hex}"
         dealt = df.withColumn(PART, self.part()).hint("rebalance", PART)
+        dealt = watch(dealt) if watch else dealt
         dealt.write.partitionBy(PART).parquet(f"{self.path}/{folder}")
         out = {}
         for status in self._fs.listStatus(self._path(f"{self.path}/{folder}")):
