@@ -458,8 +458,19 @@ ORACLES: dict[str, str] = {
         FROM embeddings""",
     "hybrid_fit": _with(
         _STATES,
-        f"""SELECT count(*) AS n, sum(label) AS positive, true AS above_floor, true AS edges_ascend
-            FROM states WHERE {_TRAINABLE}""",
+        f""", priced AS (SELECT log10(frequency + 1) AS f, label AS y FROM states WHERE {_TRAINABLE}),
+            edges AS ({_PARTS['edges']}), pairs AS ({_PARTS['pairs']}), grid AS ({_PARTS['grid']}),
+            best AS (SELECT low, high FROM grid ORDER BY grid.score, low_i, high_i LIMIT 1),
+            chosen AS (SELECT coalesce(min(low), 1.68::DOUBLE) AS low_mid, coalesce(min(high), 4.72::DOUBLE) AS mid_high FROM best),
+            routed AS (SELECT y, low_mid, mid_high,
+                              CASE WHEN f >= mid_high THEN 'high' WHEN f <= low_mid THEN 'low' ELSE 'mid' END AS band
+                       FROM priced, chosen)
+            SELECT count(*) AS n, sum(y) AS positive, true AS above_floor,
+                   round(min(low_mid), 6) AS low_mid, round(min(mid_high), 6) AS mid_high,
+                   count(*) FILTER (band = 'low') AS n_low, count(*) FILTER (band = 'mid') AS n_mid,
+                   count(*) FILTER (band = 'high') AS n_high, sum(y) FILTER (band = 'low') AS positive_low,
+                   sum(y) FILTER (band = 'mid') AS positive_mid, sum(y) FILTER (band = 'high') AS positive_high
+            FROM routed""",
     ),
     "hybrid_predict": _with(_STATES, f"SELECT word, label, true AS sound FROM states WHERE {_TRAINABLE}"),
     "score_unlabeled": _with(

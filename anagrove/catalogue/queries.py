@@ -648,7 +648,7 @@ def _trained(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, hybrid.WordMo
 
 @query
 def hybrid_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows and classes that the bands hold together, and whether the model beats the floor."""
+    """The edges that the search chose, rows per band and their classes, and whether the model beats the floor."""
     current, model = _trained(spark, sf_dir)
     rows = hybrid.training_rows(current)
     clf = model.classifier
@@ -658,9 +658,12 @@ def hybrid_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = model.transform(rows).withColumn("band", routed)
     return scored.agg(
         F.count_if(F.col("band").isin("low", "mid", "high")).alias("n"),
+        *[F.count_if(F.col("band") == name).alias(f"n_{name}") for name in ("low", "mid", "high")],
+        *[F.sum(F.when(F.col("band") == name, F.col("label").cast("double"))).alias(f"positive_{name}") for name in ("low", "mid", "high")],
         F.sum("label").cast("double").alias("positive"),
         (F.avg((F.col("prediction") == F.col("label")).cast("double")) > ACCURACY_FLOOR).alias("above_floor"),
-        (F.lit(clf.low_mid) < F.lit(clf.mid_high)).alias("edges_ascend"),
+        F.round(F.lit(clf.low_mid), 6).alias("low_mid"),
+        F.round(F.lit(clf.mid_high), 6).alias("mid_high"),
     )
 
 
