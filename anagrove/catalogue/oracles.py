@@ -472,6 +472,21 @@ ORACLES: dict[str, str] = {
                    sum(y) FILTER (band = 'mid') AS positive_mid, sum(y) FILTER (band = 'high') AS positive_high
             FROM routed""",
     ),
+    "forest_splits": _with(
+        _STATES,
+        f""", tenths AS (SELECT round(log10(frequency + 1), 1) AS x, label AS y FROM states WHERE {_TRAINABLE}),
+            each AS (SELECT x, count(*) AS n, sum(y) AS p FROM tenths GROUP BY x),
+            cuts AS (SELECT sum(n) OVER (ORDER BY x) AS nl, sum(p) OVER (ORDER BY x) AS pl,
+                            sum(n) OVER () AS n, sum(p) OVER () AS p FROM each),
+            gains AS (SELECT n, 2 * p / n * (n - p) / n AS impurity,
+                             2 * pl * (nl - pl) / nl / n
+                             + CASE WHEN n > nl THEN 2 * (p - pl) * (n - nl - p + pl) / (n - nl) / n ELSE 0 END AS kept
+                      FROM cuts)
+            SELECT tree, n::BIGINT AS n, round(impurity, 9) AS impurity,
+                   round(impurity - kept, 9) AS gain, round(impurity - kept, 9) AS fitted_gain
+            FROM (SELECT n, impurity, min(kept) AS kept FROM gains GROUP BY ALL), range(2) t(tree)
+            WHERE impurity > kept""",
+    ),
     "hybrid_predict": _with(_STATES, f"SELECT word, label, true AS sound FROM states WHERE {_TRAINABLE}"),
     "score_unlabeled": _with(
         _STATES,

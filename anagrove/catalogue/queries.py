@@ -9,13 +9,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.ml.classification import NaiveBayes
+from pyspark.ml.classification import NaiveBayes, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from anagrove.operators import enrich, features, hybrid, lowrank, matching, metrics, ranking, serving
+from anagrove.operators import enrich, features, forest_proof, hybrid, lowrank, matching, metrics, ranking, serving
 from anagrove.operators import states as word_states
 from anagrove.operators import subset_counts, thresholds
 from anagrove.operators.state_log import StateLog
@@ -710,6 +710,26 @@ def banded_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def forest_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First splits of a forest on the log frequency in tenths, by value: no other cut lowers the impurity more.
+
+    Fitted without resampling, so each tree has to find the best cut of all rows.
+    """
+    rows = hybrid.training_rows(Warehouse(spark, sf_dir).states)
+    tenths = F.round("log_frequency", 1)
+    rows = materialise(rows.select(_double("label"), array_to_vector(F.array(tenths)).alias("features")))
+    forest = RandomForestClassifier(numTrees=2, maxDepth=1, maxBins=256, bootstrap=False, seed=0)
+    nodes = forest_proof.forest_nodes(spark, forest.fit(rows))
+    return forest_proof.split_gains(rows, nodes, 1).select(
+        _long("tree"),
+        "n",
+        F.round("impurity", 9).alias("impurity"),
+        F.round("gain", 9).alias("gain"),
+        F.round("fitted_gain", 9).alias("fitted_gain"),
+    )
+
+
 @query
 def hybrid_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every training row with its label, and whether its prediction follows from its chance."""
