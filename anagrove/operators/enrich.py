@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable
 from typing import Any
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
@@ -117,10 +118,11 @@ def collect_for_batches(
 
 
 def _stored(spark, path: str) -> DataFrame | None:
+    """The table at ``path``; None before the first run, when it is missing or still empty."""
     try:
         return spark.read.parquet(path)
-    except Exception as error:  # noqa: BLE001 - only a missing table means a first run
-        if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
 
