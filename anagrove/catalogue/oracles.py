@@ -150,6 +150,14 @@ def _with(parts: list[str], select: str) -> str:
 
 
 _TRAINABLE = "label IS NOT NULL AND frequency IS NOT NULL AND embedding IS NOT NULL"
+# Edges searched on the training rows, and the band of each of these.
+_ROUTED = f""", priced AS (SELECT word, log10(frequency + 1) AS f, label AS y FROM states WHERE {_TRAINABLE}),
+            edges AS ({_PARTS['edges']}), pairs AS ({_PARTS['pairs']}), grid AS ({_PARTS['grid']}),
+            best AS (SELECT low, high FROM grid ORDER BY grid.score, low_i, high_i LIMIT 1),
+            chosen AS (SELECT coalesce(min(low), 1.68::DOUBLE) AS low_mid, coalesce(min(high), 4.72::DOUBLE) AS mid_high FROM best),
+            routed AS (SELECT word, y, low_mid, mid_high,
+                              CASE WHEN f >= mid_high THEN 'high' WHEN f <= low_mid THEN 'low' ELSE 'mid' END AS band
+                       FROM priced, chosen)"""
 _DAY = "strftime({0}, '%Y-%m-%d') AS {0}"
 _VECTOR = (
     "array_to_string(list_transform(embedding, lambda x: round(x::DOUBLE * 1000000)::BIGINT), ',') AS embedding"
@@ -458,13 +466,7 @@ ORACLES: dict[str, str] = {
         FROM embeddings""",
     "hybrid_fit": _with(
         _STATES,
-        f""", priced AS (SELECT log10(frequency + 1) AS f, label AS y FROM states WHERE {_TRAINABLE}),
-            edges AS ({_PARTS['edges']}), pairs AS ({_PARTS['pairs']}), grid AS ({_PARTS['grid']}),
-            best AS (SELECT low, high FROM grid ORDER BY grid.score, low_i, high_i LIMIT 1),
-            chosen AS (SELECT coalesce(min(low), 1.68::DOUBLE) AS low_mid, coalesce(min(high), 4.72::DOUBLE) AS mid_high FROM best),
-            routed AS (SELECT y, low_mid, mid_high,
-                              CASE WHEN f >= mid_high THEN 'high' WHEN f <= low_mid THEN 'low' ELSE 'mid' END AS band
-                       FROM priced, chosen)
+        f"""{_ROUTED}
             SELECT count(*) AS n, sum(y) AS positive, true AS above_floor,
                    round(min(low_mid), 6) AS low_mid, round(min(mid_high), 6) AS mid_high,
                    count(*) FILTER (band = 'low') AS n_low, count(*) FILTER (band = 'mid') AS n_mid,
@@ -487,7 +489,9 @@ ORACLES: dict[str, str] = {
             FROM (SELECT n, impurity, min(kept) AS kept FROM gains GROUP BY ALL), range(2) t(tree)
             WHERE impurity > kept""",
     ),
-    "hybrid_predict": _with(_STATES, f"SELECT word, label, true AS sound FROM states WHERE {_TRAINABLE}"),
+    "hybrid_predict": _with(
+        _STATES, f"{_ROUTED} SELECT word, y AS label, band, true AS sound FROM routed"
+    ),
     "score_unlabeled": _with(
         _STATES,
         """SELECT word, letter_set, frequency IS NOT NULL AND embedding IS NOT NULL AS scored

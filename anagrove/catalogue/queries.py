@@ -732,11 +732,14 @@ def forest_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def hybrid_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every training row with its label, and whether its prediction follows from its chance."""
+    """Every training row with its label and band, and whether its prediction follows from its chance."""
+    from anagrove.functions import band
+
     current, model = _trained(spark, sf_dir)
     scored = model.transform(hybrid.training_rows(current))
+    routed = band(F.col("log_frequency"), F.lit(model.classifier.low_mid), F.lit(model.classifier.mid_high))
     follows = F.abs(F.col("prediction") - F.col("probability")) <= 0.5
-    return scored.select("word", _double("label"), (_is_chance("probability") & follows).alias("sound"))
+    return scored.select("word", _double("label"), routed.alias("band"), (_is_chance("probability") & follows).alias("sound"))
 
 
 @query
