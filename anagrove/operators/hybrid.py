@@ -137,7 +137,18 @@ def _fit_band(spec: BandSpec, rows: DataFrame, classes: dict[float, int]) -> Mod
         # Balanced weights sum to the row count, so both objectives agree.
         penalty = 1.0 / (spec.inverse_regularization * total)
         estimator = estimator.copy({estimator.regParam: penalty})
-    return estimator.fit(rows)
+    return _without_summary(estimator.fit(rows))
+
+
+def _without_summary(model: Model) -> Model:
+    """The model without what it notes of its training, as if loaded.
+
+    The summary refers to the session, which can't be sent to executors once an
+    observation was made in it.
+    """
+    if getattr(model, "hasSummary", False):
+        model._java_obj.setSummary(SparkSession.active()._jvm.scala.Option.empty())
+    return model
 
 
 class FrequencyBandModel(Model):

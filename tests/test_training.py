@@ -4,6 +4,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.ml.classification import LogisticRegression, NaiveBayes
 from pyspark.ml.functions import array_to_vector
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from anagrove.functions import band
@@ -176,6 +177,21 @@ def test_hybrid_routes_fits_and_reloads(spark):
     assert accuracy == pytest.approx(np.mean([r.prediction == r.label for r in scored]))
 
 
+def test_scores_in_a_session_that_has_observed(spark):
+    """A summary kept in a model refers to the session, which an observation makes impossible to send."""
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get == {"n": 3}
+    df, *_ = vectors(spark)
+    rows = df.select("label", F.log10("frequency").alias("log_frequency"), array_to_vector("embedding").alias("features"))
+    bands = hybrid.default_bands(max_iter=20, trees=3, depth=3)
+    for name in ("mid", "high"):
+        edges = {"mid": (-1.0, 1e9), "high": (-2.0, -1.0)}[name]
+        model = hybrid.FrequencyBandClassifier(*edges, {name: bands[name]}).fit(rows)
+        assert not model.models[name].hasSummary
+        assert model.transform(rows).filter("probability BETWEEN 0 AND 1").count() == 300
+
+
 def test_rows_without_data_stay_unscored(spark):
     df, *_ = vectors(spark)
     model = hybrid.train(hybrid.training_rows(df), (1.0, 3.0), 4, hybrid.default_bands(max_iter=20, trees=3, depth=3))
