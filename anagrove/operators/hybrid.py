@@ -21,6 +21,8 @@ from anagrove.operators.features import labeled, unlabeled, with_log_frequency
 from anagrove.session import materialise
 
 BANDS = ("low", "mid", "high")
+# Training rows that a task keeps at hand, at about a kilobyte each.
+ROWS_PER_TASK = 1_000_000
 TWO_CLASSES = {"ml_attr": {"type": "nominal", "name": "label", "vals": ["0.0", "1.0"]}}
 
 
@@ -122,8 +124,20 @@ def _route(df: DataFrame, frequency_col: str, low_mid: float, mid_high: float) -
     return df.withColumn("_band", band(F.col(frequency_col), F.lit(low_mid), F.lit(mid_high)))
 
 
+def _tasks(df: DataFrame, rows: int = 0) -> int:
+    """As many tasks as there are cores, more if each had above ``ROWS_PER_TASK``.
+
+    Every task of a forest's fit holds, and passes on, counts for all nodes of a level, and
+    every task that scores unpacks the whole forest. With the data's own tasks that work
+    grows with tasks times nodes, both of which grow with the rows.
+    """
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // ROWS_PER_TASK))
+
+
 def _fit_band(spec: BandSpec, rows: DataFrame, classes: dict[float, int]) -> Model:
     total = sum(classes.values())
+    # Dealt evenly: a task waits for the fullest one at every level of the trees.
+    rows = rows.repartition(_tasks(rows, total))
     label = F.col("label").cast("double")
     estimator = spec.estimator.copy()
     rows = rows.withColumn("label", label.alias("label", metadata=TWO_CLASSES))
@@ -167,7 +181,7 @@ class FrequencyBandModel(Model):
         self.frequency_col = frequency_col
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        out = _route(dataset, self.frequency_col, self.low_mid, self.mid_high)
+        out = _route(dataset.coalesce(_tasks(dataset)), self.frequency_col, self.low_mid, self.mid_high)
         chance = F.when(F.lit(False), F.lit(None).cast("double"))
         guess = F.when(F.lit(False), F.lit(None).cast("double"))
         helpers = ["_band"]

@@ -192,6 +192,29 @@ def test_scores_in_a_session_that_has_observed(spark):
         assert model.transform(rows).filter("probability BETWEEN 0 AND 1").count() == 300
 
 
+class Watcher:
+    """Stands in for an estimator and notes how its rows are dealt out."""
+
+    def copy(self, extra=None):
+        return self
+
+    def fit(self, rows):
+        self.sizes = rows.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+        return self
+
+
+def test_tasks_that_hold_a_model_follow_the_cores(spark, monkeypatch):
+    """Not the pieces that the rows come in, which may be many and uneven."""
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(0, 4000, 1, 50).filter("id < 1000").select((F.col("id") % 2).alias("label"), F.lit(1.0).alias("log_frequency"))
+    seen = hybrid._fit_band(hybrid.BandSpec(Watcher()), rows, {0.0: 500, 1.0: 500}).sizes
+    assert len(seen) == cores and sum(seen) == 1000 and max(seen) < 2 * 1000 / cores
+    scored = hybrid.FrequencyBandModel(0.0, 2.0, {"mid": 1.0}, "log_frequency").transform(rows)
+    assert scored.rdd.getNumPartitions() == cores and scored.filter("probability = 1").count() == 1000
+    monkeypatch.setattr(hybrid, "ROWS_PER_TASK", 1000 // (3 * cores))
+    assert hybrid._tasks(rows, 1000) >= 3 * cores
+
+
 def test_rows_without_data_stay_unscored(spark):
     df, *_ = vectors(spark)
     model = hybrid.train(hybrid.training_rows(df), (1.0, 3.0), 4, hybrid.default_bands(max_iter=20, trees=3, depth=3))
